@@ -117,7 +117,7 @@ add(
 )
 add(
     "e02_check_messages",
-    _checked,
+    lambda spark, sf: _checked(spark, sf).drop("wait_seconds"),
     f"SELECT event_id, value, error_code, {FIELD} AS error_field, {TEXT} AS error_message "
     "FROM msg",
 )

@@ -17,6 +17,11 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, _EDGE, "")
 
 
+def is_blank(c: Column) -> Column:
+    """Nothing but whitespace; stops at the first other character."""
+    return ~F.rlike(c, F.lit(r"(?U)[^\s\x1c-\x1f]"))
+
+
 def clean_text(c: Column) -> Column:
     return F.nullif(strip(c), F.lit(""))
 

@@ -228,13 +228,13 @@ def network_stops(
     # One colour entry per route, sorted; expanded from the counts at the end.
     repeated = F.flatten(
         F.transform(
-            F.array_sort(F.collect_list(F.struct("color", "n"))),
+            F.sort_array(F.collect_list(F.struct("color", "n"))),
             lambda e: F.array_repeat(e["color"], e["n"].cast("int")),
         )
     )
     grouped = lines.groupBy(*place).agg(
         F.count("route_short_name").alias("route_count"),
-        F.array_join(F.array_sort(F.collect_list("route_short_name")), ", ").alias("routes"),
+        F.array_join(F.sort_array(F.collect_list("route_short_name")), ", ").alias("routes"),
         repeated.alias("colors"),
         F.min("color").alias("_color"),
     )

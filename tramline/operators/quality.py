@@ -172,7 +172,7 @@ def _unmatched(
         gaps.select(text.alias("k"))
         .orderBy("k")
         .limit(SAMPLE_SIZE)
-        .agg(F.array_join(F.array_sort(F.collect_list("k")), ", ").alias("s"))
+        .agg(F.array_join(F.sort_array(F.collect_list("k")), ", ").alias("s"))
     )
     return count.select(
         *(c.alias(n) for c, n in zip(label, names)),

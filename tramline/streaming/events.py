@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tramline import schemas
 from tramline.functions.aggregates import count_true
-from tramline.functions.text import strip
+from tramline.functions.text import is_blank
 
 ALERT_SECONDS = 600
 
@@ -21,6 +21,8 @@ REQUIRED = tuple(f for f in FIELDS if f not in OPTIONAL)
 TEXTS = ("line", "route_id", "stop")
 DURATIONS = ("time_in_minutes", "time_in_seconds")
 
+CHECKS = ("error_code", "error_field", "error_message", "wait_seconds")
+
 # Message field <- feed field.
 FEED_FIELDS = {
     "destination": "destination",
@@ -32,10 +34,11 @@ FEED_FIELDS = {
     "text_ca": "text-ca",
 }
 
-# Texts of the published error and alert records.
+# Texts of the published error and alert records. The names of
+# unexpected and missing fields follow their text.
 NOT_OBJECT = "El evento GTFS-RT debe ser un objeto JSON."
-UNEXPECTED = "El evento GTFS-RT contiene campos no esperados: %s"
-MISSING = "El evento GTFS-RT no contiene campos obligatorios: %s"
+UNEXPECTED = "El evento GTFS-RT contiene campos no esperados: "
+MISSING = "El evento GTFS-RT no contiene campos obligatorios: "
 BLANK = "El campo %s no puede estar vacío."
 BAD_TIMESTAMP = "El timestamp del evento GTFS-RT no es válido."
 NOT_INTEGER = "El campo %s debe ser un entero."
@@ -68,102 +71,100 @@ def normalise_feed(payloads: DataFrame, ingested: Column | None = None) -> DataF
     return buses.select(F.to_json(message, {"ignoreNullFields": "false"}).alias("value"))
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that later filters read instead of repeating its expression.
+
+    The optimizer copies the expression behind a projected column into every
+    filter above it, so a filter on six parsed fields would parse each message
+    six times more. It does not look inside the one-element explode used here.
+    """
+    held = df.withColumn("_once", value)
+    return held.select(*df.columns, F.explode(F.array("_once")).alias(name))
+
+
 def check_messages(messages: DataFrame) -> DataFrame:
-    """``value, error_code, error_field, error_message``; all errors NULL when valid.
+    """The messages with ``error_code, error_field, error_message, wait_seconds``.
+
+    The error columns are NULL when the message is valid.
 
     The first broken rule counts. Types are those of the JSON text: ``"4"`` and
     ``4.0`` are not integers, and neither is ``true``.
     """
-    value = F.col("value").cast("string")
-    parsed = messages.withColumn("value", value).withColumns(
-        {"_v": F.try_parse_json("value"), "_keys": F.json_object_keys("value")}
+    parsed = computed_once(
+        messages.withColumn("value", F.col("value").cast("string")),
+        "_v",
+        F.try_parse_json("value"),
     )
-    typed = parsed.withColumns(
-        {
-            f"_{f}": F.schema_of_variant(F.variant_get("_v", f"$.{f}", "variant"))
-            for f in FIELDS
-        }
-    ).withColumns(
-        {
-            "_extra": F.array_sort(
-                F.array_except("_keys", F.array(*map(F.lit, FIELDS)))
-            ),
-            "_missing": F.array_sort(
-                F.array_compact(F.array(*(F.when(_absent(f), F.lit(f)) for f in REQUIRED)))
-            ),
-        }
+    keys = F.json_object_keys("value")
+    facts = F.struct(
+        (F.col("_v").isNotNull() & keys.isNotNull()).alias("is_object"),
+        F.array_join(
+            F.sort_array(F.array_except(keys, F.array(*map(F.lit, FIELDS)))), ", "
+        ).alias("extra"),
+        *(F.schema_of_variant(_value(f, "variant")).alias(f"kind_{f}") for f in REQUIRED),
+        *(is_blank(_value(f, "string")).alias(f"blank_{f}") for f in TEXTS),
+        *(_value(f, "bigint").alias(f"number_{f}") for f in ("timestamp", *DURATIONS)),
+    )
+    typed = computed_once(parsed, "_m", facts)
+    # array_join skips the NULLs of the fields that are there
+    missing = F.array_join(
+        F.array(*(F.when(_absent(f), F.lit(f)) for f in sorted(REQUIRED))), ", "
     )
 
-    # (condition, code, field, message), first match wins
-    rules: list[tuple[Column, str, Column, Column]] = [
-        (
-            F.col("_v").isNull() | F.col("_keys").isNull(),
-            "not_object",
-            F.lit(None).cast("string"),
-            F.lit(NOT_OBJECT),
-        ),
-        _set_rule("_extra", "unexpected_field", UNEXPECTED),
-        _set_rule("_missing", "missing_field", MISSING),
+    # (condition, code, field, message); the first match wins. The two rules on sets
+    # of fields have no fixed field, it is added to the message below.
+    rules: list[tuple[Column, str, str | None, str]] = [
+        (~F.col("_m.is_object"), "not_object", None, NOT_OBJECT),
+        (F.col("_m.extra") != "", "unexpected_field", None, UNEXPECTED),
+        (F.col("_missing") != "", "missing_field", None, MISSING),
     ]
     for f in TEXTS:
-        blank = strip(_text(f)) == ""
-        rules.append(_rule((F.col(f"_{f}") != "STRING") | blank, "blank_field", f, BLANK))
-    rules.append(
-        (
-            _not_integer("timestamp") | (_number("timestamp") <= 0),
-            "bad_timestamp",
-            F.lit("timestamp"),
-            F.lit(BAD_TIMESTAMP),
-        )
-    )
+        blank = (F.col(f"_m.kind_{f}") != "STRING") | F.col(f"_m.blank_{f}")
+        rules.append((blank, "blank_field", f, BLANK % f))
+    bad_time = _not_integer("timestamp") | (_number("timestamp") <= 0)
+    rules.append((bad_time, "bad_timestamp", "timestamp", BAD_TIMESTAMP))
     for f in DURATIONS:
-        rules.append(_rule(_not_integer(f), "not_integer", f, NOT_INTEGER))
-        rules.append(_rule(_number(f) < 0, "negative", f, NEGATIVE))
+        rules.append((_not_integer(f), "not_integer", f, NOT_INTEGER % f))
+        rules.append((_number(f) < 0, "negative", f, NEGATIVE % f))
 
-    hit = F.when(rules[0][0], _error(*rules[0][1:]))
-    for condition, *error in rules[1:]:
-        hit = hit.when(condition, _error(*error))
-    return typed.withColumn("_error", hit).select(
+    conditions, codes, fields, texts = zip(*rules)
+    first = F.coalesce(*(F.when(c, F.lit(i)) for i, c in enumerate(conditions)))
+    judged = computed_once(typed.withColumn("_missing", missing), "_rule", first)
+
+    def of_rule(values) -> Column:
+        return F.get(F.array(*(F.lit(v).cast("string") for v in values)), F.col("_rule"))
+
+    named = F.when(F.col("_rule") == 1, F.col("_m.extra")).when(
+        F.col("_rule") == 2, F.col("_missing")
+    )
+    return judged.select(
         *messages.columns,
-        F.col("_error.code").alias("error_code"),
-        F.col("_error.field").alias("error_field"),
-        F.col("_error.message").alias("error_message"),
+        of_rule(codes).alias("error_code"),
+        F.coalesce(named, of_rule(fields)).alias("error_field"),
+        F.concat(of_rule(texts), F.coalesce(named, F.lit(""))).alias("error_message"),
+        F.col("_m.number_time_in_seconds").alias("wait_seconds"),
     )
 
 
-def _absent(field: str) -> Column:
-    return F.col(f"_{field}").isNull() | (F.col(f"_{field}") == "VOID")
+def _value(field: str, kind: str) -> Column:
+    return F.try_variant_get("_v", f"$.{field}", kind)
 
 
-def _not_integer(field: str) -> Column:
-    return F.col(f"_{field}") != "BIGINT"
+def _absent(field: str) -> Column:
+    kind = F.col(f"_m.kind_{field}")
+    return kind.isNull() | (kind == "VOID")
 
 
-def _text(field: str) -> Column:
-    return F.try_variant_get("_v", f"$.{field}", "string")
+def _not_integer(field: str) -> Column:
+    return F.col(f"_m.kind_{field}") != "BIGINT"
 
 
 def _number(field: str) -> Column:
-    return F.try_variant_get("_v", f"$.{field}", "bigint")
-
-
-def _rule(condition: Column, code: str, field: str, text: str) -> tuple:
-    return condition, code, F.lit(field), F.lit(text % field)
-
-
-def _set_rule(names: str, code: str, text: str) -> tuple:
-    listed = F.array_join(names, ", ")
-    return F.size(names) > 0, code, listed, F.format_string(text, listed)
-
-
-def _error(code: str, field: Column, message: Column) -> Column:
-    return F.struct(F.lit(code).alias("code"), field.alias("field"), message.alias("message"))
+    return F.col(f"_m.number_{field}")
 
 
 def valid(checked: DataFrame) -> DataFrame:
-    return checked.where("error_code IS NULL").drop(
-        "error_code", "error_field", "error_message"
-    )
+    return checked.where("error_code IS NULL").drop(*CHECKS)
 
 
 def error_records(checked: DataFrame, now: Column | None = None) -> DataFrame:
@@ -199,9 +200,8 @@ def error_messages(errors: DataFrame) -> DataFrame:
 
 def parse_messages(messages: DataFrame) -> DataFrame:
     """Message fields as columns; malformed text yields NULLs, never an error."""
-    return messages.select(
-        F.from_json(F.col("value").cast("string"), schemas.ARRIVAL_MESSAGE).alias("m")
-    ).select("m.*")
+    parsed = F.from_json(F.col("value").cast("string"), schemas.ARRIVAL_MESSAGE)
+    return computed_once(messages.select("value"), "m", parsed).select("m.*")
 
 
 def clean_arrivals(parsed: DataFrame) -> DataFrame:
@@ -260,11 +260,10 @@ def alert_messages(records: DataFrame) -> DataFrame:
 
 def counters(checked: DataFrame, threshold: int = ALERT_SECONDS) -> DataFrame:
     """Messages sent and rejected, alerts and errors of one cycle, in one row."""
-    seconds = F.try_variant_get(F.try_parse_json("value"), "$.time_in_seconds", "bigint")
     good = F.col("error_code").isNull()
     return checked.agg(
         count_true(good).alias("messages_sent"),
         count_true(~good).alias("messages_rejected"),
-        count_true(good & (seconds > threshold)).alias("alerts_sent"),
+        count_true(good & (F.col("wait_seconds") > threshold)).alias("alerts_sent"),
         count_true(~good).alias("errors_sent"),
     )
