@@ -67,7 +67,10 @@ def _fixed(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
 
 
 def missing_files(spark: SparkSession, found: set[str]) -> DataFrame:
-    """One row per mandatory file, violated when it is absent. Extra files are fine."""
+    """One row per mandatory file, violated when it is absent or has no bytes.
+
+    Extra files are fine.
+    """
     return _fixed(
         spark,
         [
