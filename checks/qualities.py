@@ -8,9 +8,9 @@ from checks import cleaning, stored, views
 from checks.registry import add
 from tramline import schemas
 from tramline.functions.snapshots import ALL
-from tramline.operators import clean, quality
+from tramline.operators import quality
 from tramline.sources import feed as feeds
-from tramline.sources import listing
+from tramline.sources import listing, tables
 
 NO_SAMPLE = "CAST(NULL AS STRING) AS sample"
 
@@ -183,7 +183,9 @@ PROCESSED = {f"u_{d}": cleaning.typed_sql(d) for d in schemas.DATASETS}
 
 
 def _processed(spark, sf):
-    return clean.clean_feed(_typed(spark, sf))
+    """The processed snapshot as it lies in the lake."""
+    _, folder = listing.latest_processed_snapshot(spark, stored.lake_root(spark, sf))
+    return tables.read_processed(spark, folder)
 
 
 V10 = nulls_sql(schemas.PROCESSED_IDENTIFIERS, "u_")

@@ -8,18 +8,22 @@ from pyspark.sql import functions as F
 from tramline import schemas
 
 
-# Whitespace in the Unicode sense, with the four ASCII separators.
-_EDGE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
+# Whitespace in the Unicode sense: ASCII controls and separators, then the spaces
+# and line marks beyond ASCII.
+WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(map(chr, range(0x2000, 0x200B)))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip(c: Column) -> Column:
-    """Remove any leading and trailing whitespace (``trim`` removes spaces only)."""
-    return F.regexp_replace(c, _EDGE, "")
+    """Remove any leading and trailing whitespace (plain ``trim`` removes spaces only)."""
+    return F.trim(c, F.lit(WHITESPACE))
 
 
 def is_blank(c: Column) -> Column:
-    """Nothing but whitespace; stops at the first other character."""
-    return ~F.rlike(c, F.lit(r"(?U)[^\s\x1c-\x1f]"))
+    return strip(c) == ""
 
 
 def clean_text(c: Column) -> Column:

@@ -41,17 +41,27 @@ class QualityError(ValueError):
         )
 
 
-def _rows(df: DataFrame, rule: str, dataset: str, counts: dict[str, Column]) -> DataFrame:
-    """One aggregate pass over ``df``, one report row per named count."""
-    totals = df.agg(*(c.alias(f"c{i}") for i, c in enumerate(counts.values())))
+Rule = tuple[str, str]  # rule name, field
+
+
+def _rows(df: DataFrame, dataset: str, counts: Mapping[Rule, Column]) -> DataFrame:
+    """One aggregate pass over ``df``, one report row per count."""
+    totals = df.agg(
+        *(
+            F.coalesce(c, F.lit(0)).cast("bigint").alias(f"c{i}")
+            for i, c in enumerate(counts.values())
+        )
+    )
     entries = F.array(
         *(
-            F.struct(F.lit(name).alias("field"), F.col(f"c{i}").cast("bigint").alias("n"))
-            for i, name in enumerate(counts)
+            F.struct(
+                F.lit(rule).alias("rule"), F.lit(field).alias("field"), F.col(f"c{i}").alias("n")
+            )
+            for i, (rule, field) in enumerate(counts)
         )
     )
     return totals.select(F.explode(entries).alias("e")).select(
-        F.lit(rule).alias("rule"),
+        F.col("e.rule").alias("rule"),
         F.lit(dataset).alias("dataset"),
         F.col("e.field").alias("field"),
         F.col("e.n").alias("violations"),
@@ -59,6 +69,29 @@ def _rows(df: DataFrame, rule: str, dataset: str, counts: dict[str, Column]) ->
     )
 
 
+def _key_rows(
+    df: DataFrame,
+    dataset: str,
+    keys: Sequence[str],
+    surplus: Rule,
+    others: Mapping[Rule, Column] | None = None,
+) -> DataFrame:
+    """Rows after the first of their key, and other counts, in one pass.
+
+    Rows of one key are folded into one before and after the only shuffle; the
+    other counts are folded along with them and added up at the end.
+    """
+    others = others or {}
+    folded = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        *(c.alias(f"_o{i}") for i, c in enumerate(others.values())),
+    )
+    counts = {surplus: F.sum(F.col("_n") - 1)} | {
+        rule: F.sum(f"_o{i}") for i, rule in enumerate(others)
+    }
+    return _rows(folded, dataset, counts)
+
+
 def _fixed(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:
     return spark.createDataFrame(list(rows), REPORT)
 
@@ -98,28 +131,25 @@ def missing_columns(
 
 def empty_datasets(datasets: Datasets) -> DataFrame:
     """Violated (1) for every dataset without a row."""
+    empty = F.when(F.count(F.lit(1)) == 0, 1)
     return union_all(
-        [
-            _rows(
-                df,
-                "no_records",
-                name,
-                {"*": F.when(F.count(F.lit(1)) == 0, 1).otherwise(0)},
-            )
-            for name, df in datasets.items()
-        ]
+        [_rows(df, name, {("no_records", "*"): empty}) for name, df in datasets.items()]
     )
 
 
 # --- rules on rows --------------------------------------------------------
 
 
+def _nulls(columns: Sequence[str]) -> dict[Rule, Column]:
+    return {("null_identifier", c): count_null(c) for c in columns}
+
+
 def null_identifiers(
     datasets: Datasets, columns: Mapping[str, Sequence[str]] = schemas.RAW_IDENTIFIERS
 ) -> DataFrame:
     return union_all(
         [
-            _rows(datasets[name], "null_identifier", name, {c: count_null(c) for c in cols})
+            _rows(datasets[name], name, _nulls(cols))
             for name, cols in columns.items()
             if name in datasets
         ]
@@ -127,7 +157,12 @@ def null_identifiers(
 
 
 def duplicate_rows(datasets: Datasets) -> DataFrame:
-    return _surplus("duplicate_row", datasets, {n: df.columns for n, df in datasets.items()})
+    return union_all(
+        [
+            _key_rows(df, name, df.columns, ("duplicate_row", "*"))
+            for name, df in datasets.items()
+        ]
+    )
 
 
 def duplicate_keys(
@@ -136,24 +171,11 @@ def duplicate_keys(
     rule: str = "duplicate_key",
 ) -> DataFrame:
     """Rows after the first of their business key; NULL parts compare equal."""
-    return _surplus(rule, datasets, {n: k for n, k in keys.items() if n in datasets})
-
-
-def _surplus(
-    rule: str, datasets: Datasets, keys: Mapping[str, Sequence[str]]
-) -> DataFrame:
     return union_all(
         [
-            surplus_rows(datasets[name], cols).select(
-                F.lit(rule).alias("rule"),
-                F.lit(name).alias("dataset"),
-                F.lit("*" if list(cols) == datasets[name].columns else ",".join(cols)).alias(
-                    "field"
-                ),
-                F.col("n").alias("violations"),
-                F.lit(None).cast("string").alias("sample"),
-            )
+            _key_rows(datasets[name], name, cols, (rule, ",".join(cols)))
             for name, cols in keys.items()
+            if name in datasets
         ]
     )
 
@@ -200,32 +222,37 @@ def broken_references(datasets: Datasets) -> DataFrame:
     )
 
 
-def bad_coordinates(stops: DataFrame) -> DataFrame:
+def _coordinates() -> dict[Rule, Column]:
     lat, lon = F.col("stop_lat"), F.col("stop_lon")
-    return _rows(
-        stops,
-        "coordinates",
-        "stops",
-        {
-            "stop_lat missing": count_null("stop_lat"),
-            "stop_lon missing": count_null("stop_lon"),
-            "out of range": count_true(
-                ~lat.between(-90.0, 90.0) | ~lon.between(-180.0, 180.0)
-            ),
-        },
-    )
+    outside = ~lat.between(-90.0, 90.0) | ~lon.between(-180.0, 180.0)
+    return {
+        ("coordinates", "stop_lat missing"): count_null("stop_lat"),
+        ("coordinates", "stop_lon missing"): count_null("stop_lon"),
+        ("coordinates", "out of range"): count_true(outside),
+    }
+
+
+def bad_coordinates(stops: DataFrame) -> DataFrame:
+    return _rows(stops, "stops", _coordinates())
 
 
 def raw_report(datasets: Datasets) -> DataFrame:
-    """Identifier, duplicate, reference and coordinate rules of a typed snapshot."""
-    return union_all(
-        [
-            null_identifiers(datasets),
-            duplicate_rows(datasets),
-            broken_references(datasets),
-            bad_coordinates(datasets["stops"]),
-        ]
-    )
+    """Identifier, duplicate, reference and coordinate rules of a typed snapshot.
+
+    The rules on single tables share one scan and one shuffle per table.
+    """
+    tables = [
+        _key_rows(
+            df,
+            name,
+            df.columns,
+            ("duplicate_row", "*"),
+            _nulls(schemas.RAW_IDENTIFIERS.get(name, ()))
+            | (_coordinates() if name == "stops" else {}),
+        )
+        for name, df in datasets.items()
+    ]
+    return union_all([*tables, broken_references(datasets)])
 
 
 # --- processed snapshots --------------------------------------------------
@@ -245,8 +272,16 @@ def processed_report(datasets: Datasets) -> DataFrame:
     return union_all(
         [
             columns,
-            null_identifiers(datasets, schemas.PROCESSED_IDENTIFIERS),
-            duplicate_keys(datasets),
+            *(
+                _key_rows(
+                    datasets[name],
+                    name,
+                    keys,
+                    ("duplicate_key", ",".join(keys)),
+                    _nulls(schemas.PROCESSED_IDENTIFIERS[name]),
+                )
+                for name, keys in schemas.BUSINESS_KEYS.items()
+            ),
             broken_references(datasets),
         ]
     )
@@ -265,16 +300,16 @@ def column_audit(tables: Datasets) -> DataFrame:
     reports = []
     for name, df in tables.items():
         rules = {
-            f"{c} is null": count_null(c)
+            ("column", f"{c} is null"): count_null(c)
             for c in schemas.NOT_NULL.get(name, ())
             if c in df.columns
         } | {
-            f"{c} longer than {n}": count_true(F.length(c) > n)
+            ("column", f"{c} longer than {n}"): count_true(F.length(c) > n)
             for c, n in schemas.MAX_LENGTH.get(name, {}).items()
             if c in df.columns
         }
         if rules:
-            reports.append(_rows(df, "column", name, rules))
+            reports.append(_rows(df, name, rules))
     return union_all(reports)
 
 
