@@ -75,7 +75,7 @@ add(
 
 
 def _d(plan):
-    return lambda spark, sf: plan(stored.star(spark, sf))
+    return lambda spark, sf: plan(stored.lazy_star(spark, sf))
 
 
 ROUTES = "s_trip t JOIN g_routes r USING (route_id, snapshot_date)"

@@ -265,7 +265,7 @@ def _reload(spark, sf):
     Returns rows, kept dimension keys and foreign-key gaps per table.
     """
     path = scratch_dir(spark, "reload")
-    snapshot = views.newest(spark, sf)
+    snapshot = views.newest(spark, sf).all()
     warehouse.load_star(spark, snapshot, path)
     before = scratch_dir(spark, "before")
     for name in dimensional.DIMENSION_ROWS:

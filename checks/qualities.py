@@ -333,7 +333,7 @@ add(
 
 def _gated(spark, sf):
     """The gate lets a clean snapshot pass and hands its report on."""
-    tables = views.newest(spark, sf)
+    tables = views.newest(spark, sf).all()
     return quality.gate(
         quality.union_all(
             [
@@ -363,7 +363,7 @@ add(
 )
 add(
     "v17_snapshot_counts",
-    lambda spark, sf: quality.snapshot_counts(views.newest(spark, sf), ALL),
+    lambda spark, sf: quality.snapshot_counts(views.newest(spark, sf).all(), ALL),
     union(
         f"SELECT '{d}' AS dataset, count(*) AS rows FROM g_{d} "
         "WHERE snapshot_date = (SELECT d FROM newest)"

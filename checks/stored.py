@@ -16,7 +16,7 @@ from checks import views
 from tramline import schemas
 from tramline.functions.snapshots import ALL
 from tramline.operators import clean
-from tramline.plans.warehouse import load_star, open_star
+from tramline.plans.warehouse import STAR, load_star, open_star
 from tramline.session import scratch_dir
 from tramline.sources import listing, tables
 from tramline.streaming import jobs
@@ -51,8 +51,12 @@ def _once(
 
 def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The star schema over the whole history, loaded by the library's own load."""
-    root = _once(spark, sf_dir, "star", lambda path: build_star(spark, sf_dir, path))
-    return open_star(spark, root)
+    return open_star(spark, star_root(spark, sf_dir))
+
+
+def lazy_star(spark: SparkSession, sf_dir: str) -> views.Lazy:
+    root = star_root(spark, sf_dir)
+    return views.Lazy(STAR, lambda name: tables.read_table(spark, f"{root}/{name}"))
 
 
 def build_star(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
@@ -60,8 +64,7 @@ def build_star(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
 
 
 def star_root(spark: SparkSession, sf_dir: str) -> str:
-    star(spark, sf_dir)
-    return _once(spark, sf_dir, "star", lambda path: None)
+    return _once(spark, sf_dir, "star", lambda path: build_star(spark, sf_dir, path))
 
 
 def write_feed(feed: dict[str, DataFrame], folder: str) -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from checks import stored, views
 from checks.registry import add
 from tramline.functions.aggregates import union_all
-from tramline.plans import adhoc
+from tramline.plans import adhoc, realtime
 from tramline.session import scratch_dir
 from tramline.sources import tables
 from tramline.streaming import events, jobs
@@ -229,9 +229,20 @@ def _stored(name):
 
 add(
     "e09_stream_arrivals",
-    lambda spark, sf: _no_zone(_stored("arrivals")(spark, sf).drop("created_at")),
+    lambda spark, sf: _no_zone(
+        _stored("arrivals")(spark, sf).drop("created_at", "event_date")
+    ),
     ARRIVALS,
 )
+add(
+    "r01_stored_arrivals_per_line",
+    lambda spark, sf: realtime.arrivals_per_line(
+        _stored("arrivals")(spark, sf), realtime.NEWEST
+    ),
+    "SELECT line, count(*) AS total_llegadas FROM ok WHERE event_timestamp >= "
+    "(SELECT max(event_timestamp) FROM ok) - INTERVAL 1 HOUR GROUP BY 1",
+    ok=ARRIVALS,
+)
 add("e09_stream_alerts", _stored("alerts"), ALERTS)
 add(
     "e09_stream_errors",

@@ -142,24 +142,45 @@ ARRIVALS = [
 ]
 
 
+class Lazy(dict):
+    """Tables opened when a plan first asks for them."""
+
+    def __init__(self, names, opened):
+        super().__init__()
+        self._names, self._opened = tuple(names), opened
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self._opened(name)
+        return self[name]
+
+    def all(self) -> Tables:
+        return {name: self[name] for name in self._names}
+
+
+def _per_snapshot(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    table, keep, expressions = PER_SNAPSHOT[f"g_{name}"]
+    df = source(spark, sf_dir, table)
+    return (df.where(keep) if keep else df).selectExpr(*expressions)
+
+
 def history(spark: SparkSession, sf_dir: str) -> Tables:
     """The seven relational tables with every yearly snapshot."""
     orders = source(spark, sf_dir, "orders")
     years = orders.selectExpr(f"{SNAPSHOT} AS d").distinct()
     dates = years.agg(F.collect_set("d")).scalar()
-    out = {}
-    for view, (table, keep, expressions) in PER_SNAPSHOT.items():
-        df = source(spark, sf_dir, table)
-        df = df.where(keep) if keep else df
-        out[view[2:]] = df.selectExpr(*expressions).withColumn(
-            "snapshot_date", F.explode(dates)
-        )
-    out["trips"] = orders.selectExpr(*TRIPS)
-    out["stop_times"] = _stop_times(spark, sf_dir, orders)
-    return out
+
+    def opened(name: str) -> DataFrame:
+        if name == "trips":
+            return orders.selectExpr(*TRIPS)
+        if name == "stop_times":
+            return _stop_times(spark, sf_dir, orders)
+        rows = _per_snapshot(spark, sf_dir, name)
+        return rows.withColumn("snapshot_date", F.explode(dates))
+
+    return Lazy(schemas.DATASETS, opened).all()
 
 
-def newest(spark: SparkSession, sf_dir: str) -> Tables:
+def newest(spark: SparkSession, sf_dir: str) -> Lazy:
     """The same tables at the newest snapshot; its start is pushed into the orders scan."""
     orders = source(spark, sf_dir, "orders")
     year = F.year(F.max("o_orderdate"))
@@ -168,14 +189,15 @@ def newest(spark: SparkSession, sf_dir: str) -> Tables:
     ).scalar()
     date = orders.agg(F.make_date(year, F.lit(1), F.lit(1))).scalar()
     recent = orders.where(F.col("o_orderdate") >= start)
-    out = {}
-    for view, (table, keep, expressions) in PER_SNAPSHOT.items():
-        df = source(spark, sf_dir, table)
-        df = df.where(keep) if keep else df
-        out[view[2:]] = df.selectExpr(*expressions).withColumn("snapshot_date", date)
-    out["trips"] = recent.selectExpr(*TRIPS)
-    out["stop_times"] = _stop_times(spark, sf_dir, recent)
-    return out
+
+    def opened(name: str) -> DataFrame:
+        if name == "trips":
+            return recent.selectExpr(*TRIPS)
+        if name == "stop_times":
+            return _stop_times(spark, sf_dir, recent)
+        return _per_snapshot(spark, sf_dir, name).withColumn("snapshot_date", date)
+
+    return Lazy(schemas.DATASETS, opened)
 
 
 def _stop_times(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from conftest import rows
 
 from tramline import schemas
 from tramline.operators import quality
-from tramline.plans.batch import check_raw_feed, run_batch
+from tramline.plans.batch import run_batch, stage_feed
 from tramline.sources import feed, listing, tables
 
 FILES = {
@@ -76,7 +76,7 @@ def test_missing_column_is_an_error(spark, tmp_path):
 )
 def test_raw_checks(spark, tmp_path, changes, message):
     with pytest.raises(quality.QualityError, match=message):
-        check_raw_feed(spark, write_feed(tmp_path, **changes))
+        stage_feed(spark, write_feed(tmp_path, **changes))
 
 
 def test_header_only_file_has_its_columns(spark, tmp_path):

@@ -6,22 +6,35 @@ import logging
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tramline import schemas
 from tramline.operators import clean, quality
 from tramline.plans.warehouse import load_star
+from tramline.session import scratch_dir
 from tramline.sources import feed, listing, tables
 
 logger = logging.getLogger(__name__)
 
 
-def check_raw_feed(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """File, column and record rules on the raw folder; returns the text frames."""
+def stage_feed(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """Check files, columns and records of a raw folder; the typed feed as Parquet.
+
+    The text files are parsed once, into the shared scratch folder. All later
+    rules and the cleaning read columns from there.
+    """
     quality.gate(quality.missing_files(spark, feed.discovered_files(spark, folder)))
-    texts = feed.read_text_feed(spark, folder)
+    headers = {
+        name: feed.read_text(spark, folder, name).columns for name in schemas.TEXT_DATASETS
+    }
+    quality.gate(quality.missing_columns(spark, headers))
+    staged = {}
+    root = scratch_dir(spark, "feed")
+    for name, df in feed.read_feed(spark, folder).items():
+        df.write.parquet(f"{root}/{name}")
+        staged[name] = tables.read_table(spark, f"{root}/{name}")
     quality.gate(
-        quality.missing_columns(spark, {name: df.columns for name, df in texts.items()})
+        quality.empty_datasets({name: staged[name] for name in schemas.TEXT_DATASETS})
     )
-    quality.gate(quality.empty_datasets(texts))
-    return texts
+    return staged
 
 
 def run_batch(spark: SparkSession, raw_root: str, lake_root: str, warehouse: str) -> DataFrame:
@@ -32,8 +45,7 @@ def run_batch(spark: SparkSession, raw_root: str, lake_root: str, warehouse: str
     """
     date, folder = listing.latest_raw_snapshot(spark, raw_root)
     logger.info("raw snapshot %s from %s", date, folder)
-    check_raw_feed(spark, folder)
-    typed = feed.read_feed(spark, folder)
+    typed = stage_feed(spark, folder)
     quality.gate(quality.raw_report(typed))
 
     tables.write_processed(clean.clean_feed(typed), lake_root, date)

@@ -19,15 +19,24 @@ AsOf = dt.datetime | str | None
 
 
 def last_hour(arrivals: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Predictions of the hour before ``as_of``; the bound is pushed into the scan."""
+    """Predictions of the hour before ``as_of``; the bound is pushed into the scan.
+
+    On a table with ``event_date`` partitions only the days of that hour are read.
+    """
     hour = F.expr("INTERVAL 1 HOUR")
+    daily = "event_date" in arrivals.columns
     if as_of is None:
         start = F.current_timestamp() - hour
     elif isinstance(as_of, str) and as_of == NEWEST:
-        start = arrivals.select(F.max("event_timestamp") - hour).scalar()
+        last = arrivals
+        if daily:
+            day = arrivals.select(F.max("event_date")).scalar()
+            last = arrivals.where(F.col("event_date") == day)
+        start = last.select(F.max("event_timestamp") - hour).scalar()
     else:
         start = F.lit(as_of) - hour
-    return arrivals.where(F.col("event_timestamp") >= start)
+    recent = arrivals.where(F.col("event_timestamp") >= start)
+    return recent.where(F.col("event_date") >= F.to_date(start)) if daily else recent
 
 
 def arrivals_per_line(arrivals: DataFrame, as_of: AsOf = None) -> DataFrame:

@@ -53,7 +53,7 @@ def kafka_writer(servers: str, topic: str) -> Writer:
     return write
 
 
-def parquet_writer(path: str) -> Writer:
+def parquet_writer(path: str, *partitions: str) -> Writer:
     """Batches as partitions of a table; a replayed batch replaces itself.
 
     An empty batch writes no partition, without being evaluated to find out.
@@ -64,7 +64,7 @@ def parquet_writer(path: str) -> Writer:
             df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch_id")
+            .partitionBy(*partitions, "batch_id")
             .parquet(path)
         )
 
@@ -72,11 +72,25 @@ def parquet_writer(path: str) -> Writer:
 
 
 def arrivals_writer(path: str) -> Writer:
-    """The arrivals table: predictions plus the time they were stored."""
-    write = parquet_writer(path)
-    return lambda df, batch_id: write(
-        df.withColumn("created_at", F.current_timestamp()), batch_id
-    )
+    """The arrivals table: predictions plus the time they were stored.
+
+    Days are partitions, so that metrics over the last hour read one or two of
+    them. The day follows from the prediction, so a replay meets its own files.
+    """
+    write = parquet_writer(path, "event_date")
+
+    def stamped(df: DataFrame, batch_id: int) -> None:
+        write(
+            df.withColumns(
+                {
+                    "created_at": F.current_timestamp(),
+                    "event_date": F.to_date("event_timestamp"),
+                }
+            ),
+            batch_id,
+        )
+
+    return stamped
 
 
 def jdbc_writer(url: str, table: str, **options: str) -> Writer:
