@@ -192,18 +192,22 @@ def network_stops(
 ) -> DataFrame:
     """Stops of one transport mode with the lines that call there.
 
-    Routes are filtered before the joins and (stop, route) pairs made distinct
-    after them. Per stop, equal (line, colour) pairs are counted first, so the
-    lists are assembled from at most one row per line name. ``keys`` are extra
-    join columns, e.g. ``snapshot_date`` over a history.
+    Routes are filtered before the joins, and (stop, route) pairs made distinct
+    before names are joined on. Per stop, equal line names are counted first, so
+    the lists are assembled from one row per line name. ``keys`` are extra join
+    columns, e.g. ``snapshot_date`` over a history.
     """
     routes = (
         datasets["routes"]
         .where(F.col("route_type") == route_type)
-        .select("route_id", "route_short_name", *keys)
+        .groupBy("route_id", *keys)
+        .agg(F.min("route_short_name").alias("route_short_name"))
+    )
+    trips = (
+        datasets["trips"]
+        .select("trip_id", "route_id", *keys)
+        .join(routes.select("route_id", *keys), ["route_id", *keys], "left_semi")
     )
-    trips = datasets["trips"].select("trip_id", "route_id", *keys)
-    stop_times = datasets["stop_times"].select("stop_id", "trip_id", *keys)
     stops = datasets["stops"].select(
         "stop_id",
         "stop_name",
@@ -213,14 +217,15 @@ def network_stops(
     )
     place = ["stop_id", "stop_name", "stop_lat", "stop_lon", *keys]
     calls = (
-        stop_times.join(
-            trips.join(routes, ["route_id", *keys]), ["trip_id", *keys]
-        )
-        .select("stop_id", "route_id", "route_short_name", *keys)
-        .dropDuplicates(["stop_id", "route_id", *keys])
+        datasets["stop_times"]
+        .select("stop_id", "trip_id", *keys)
+        .join(trips, ["trip_id", *keys])
+        .select("stop_id", "route_id", *keys)
+        .distinct()
     )
     lines = (
-        calls.groupBy("stop_id", "route_short_name", *keys)
+        calls.join(routes, ["route_id", *keys])
+        .groupBy("stop_id", "route_short_name", *keys)
         .agg(F.count(F.lit(1)).alias("n"))
         .join(stops.dropna(subset=place), ["stop_id", *keys])
         .withColumn("color", color_of(F.col("route_short_name")))

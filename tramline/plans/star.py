@@ -271,27 +271,33 @@ def table_totals(star: Star) -> DataFrame:
 def model_totals(star: Star) -> DataFrame:
     """Distinct members and rows of the full star join in one row.
 
-    Three joins instead of a four-way distinct over all calls: calls folded per
-    (trip, stop) group the wide fact once, trips carry route and service.
+    Dimension keys are unique, so joining a dimension only asks whether the key
+    exists. Calls are folded per trip and trips per (route, service) before that
+    is asked, instead of a four-way distinct over all calls. Stops are made
+    distinct before they meet their dimension, so that a hot stop is one row.
     """
     stops = star["dim_stop"].select("stop_key")
-    trips = (
-        star["fact_trip"]
-        .join(star["dim_route"].select("route_key"), "route_key")
-        .join(star["dim_service"].select("service_key"), "service_key")
-        .select("trip_key", "route_key", "service_key")
+    routes = star["dim_route"].select("route_key")
+    services = star["dim_service"].select("service_key")
+    trips = star["fact_trip"].select("trip_key", "route_key", "service_key")
+    calls = star["fact_stop_time"].select("trip_key", "stop_key")
+
+    per_trip = _count(calls.join(stops, "stop_key", "left_semi"), "trip_key")
+    pairs = (
+        per_trip.join(trips, "trip_key")
+        .groupBy("route_key", "service_key")
+        .agg(F.count(F.lit(1)).alias("trips"), F.sum("n").alias("calls"))
+        .join(routes, "route_key", "left_semi")
+        .join(services, "service_key", "left_semi")
+    )
+    whole = trips.join(routes, "route_key", "left_semi").join(
+        services, "service_key", "left_semi"
     )
-    calls = star["fact_stop_time"].join(stops, "stop_key").select("trip_key", "stop_key")
-    per_trip = _count(calls, "trip_key").join(trips, "trip_key")
     used = (
-        calls.join(trips.select("trip_key"), "trip_key", "left_semi")
+        calls.join(whole.select("trip_key"), "trip_key", "left_semi")
         .select("stop_key")
         .distinct()
-        .agg(F.count(F.lit(1)))
-        .scalar()
-    )
-    pairs = per_trip.groupBy("route_key", "service_key").agg(
-        F.count(F.lit(1)).alias("trips"), F.sum("n").alias("calls")
+        .join(stops, "stop_key", "left_semi")
     )
     return pairs.agg(
         F.coalesce(F.sum("trips"), F.lit(0)).alias("total_viajes"),
@@ -301,7 +307,7 @@ def model_totals(star: Star) -> DataFrame:
     ).select(
         "total_viajes",
         "total_rutas",
-        used.alias("total_paradas"),
+        used.agg(F.count(F.lit(1))).scalar().alias("total_paradas"),
         "total_servicios",
         "total_stop_times",
     )
