@@ -148,7 +148,11 @@ add(
 
 
 def _lake_layout(spark, sf):
-    """Files of the lake folded to day folder and dataset, with their row counts."""
+    """Files of the lake folded to day folder and dataset, with their row counts.
+
+    The datasets differ in columns, so one column stands in for all; only file
+    names are used.
+    """
     rows = (
         spark.read.option("recursiveFileLookup", "true")
         .schema("service_id STRING")

@@ -23,7 +23,8 @@ def _valid(spark, sf):
 
 def _no_zone(df, name="event_timestamp"):
     """The instant as UTC wall time, as the oracle prints it."""
-    return df.withColumn(name, F.col(name).cast("timestamp_ntz"))
+    local = F.col(name).cast("timestamp_ntz")
+    return df.withColumn(name, F.convert_timezone(None, F.lit("UTC"), local))
 
 
 MINS = "CAST(mins AS STRING) || ' min'"

@@ -7,6 +7,7 @@ from conftest import rows
 from tramline import schemas
 from tramline.operators import quality
 from tramline.plans.batch import run_batch, stage_feed
+from tramline.session import scratch_dir
 from tramline.sources import feed, listing, tables
 
 FILES = {
@@ -96,6 +97,24 @@ def test_newest_raw_snapshot(spark, tmp_path):
     assert date == dt.date(2026, 1, 5) and folder.endswith(newest)
 
 
+def test_other_files_in_the_folder_do_not_matter(spark, tmp_path):
+    folder = write_feed(tmp_path)
+    (tmp_path / "2026-01-05" / "extracted" / "readme.md").write_text("x")
+    assert feed.discovered_files(spark, folder) == {f"{d}.txt" for d in schemas.DATASETS}
+
+
+def test_scratch_folder_is_shared_on_a_cluster():
+    class Session:
+        def __init__(self, master, folder):
+            self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+            self.sparkContext = type("Context", (), {"master": master})
+
+    assert scratch_dir(Session("yarn", "hdfs:///tmp/"), "x").startswith("hdfs:///tmp/x-")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(Session("yarn", None), "x")
+    assert scratch_dir(Session("local[2]", None), "x")
+
+
 def test_no_snapshot_is_an_error(spark, tmp_path):
     for chooser in (listing.latest_raw_snapshot, listing.latest_processed_snapshot):
         with pytest.raises(listing.SnapshotNotFound):

@@ -34,6 +34,11 @@ def next_key(table: DataFrame | None, key: str) -> Column:
     return F.coalesce(table.select(F.max(key)).scalar(), F.lit(0)) + number
 
 
+def gathered(df: DataFrame, balance: bool = True) -> DataFrame:
+    """Rows of one snapshot side by side, large snapshots split over several tasks."""
+    return df.hint("rebalance", "snapshot_date") if balance else df
+
+
 def route_rows(tables: Tables) -> DataFrame:
     return tables["routes"].select(
         "route_id",
@@ -95,20 +100,25 @@ def upsert(
     key: str,
     natural: Sequence[str],
     scope: DataFrame | None = None,
+    balance: bool = False,
 ) -> DataFrame:
     """Incoming rows with the key of the stored row they replace, or a new key.
 
     Stored rows without a successor stay. ``scope`` is the part of ``stored``
     that can match (one snapshot of the history); new keys start above all of it.
+    ``balance`` gathers each snapshot's rows for the write. That happens before
+    keys are numbered, so that the writing task numbers them.
     """
     columns = [key, *incoming.columns]
     if stored is None:
-        return incoming.withColumn(key, next_key(None, key)).select(*columns)
+        rows = gathered(incoming, balance)
+        return rows.withColumn(key, next_key(None, key)).select(*columns)
     scope = stored if scope is None else scope
     old = scope.select(*(F.col(c).alias(f"old_{c}") for c in columns))
     new = incoming.withColumn("_arrived", F.lit(True))
     on = [new[c] == old[f"old_{c}"] for c in natural]
-    merged = new.join(old, on, "full_outer").withColumn("_next", next_key(stored, key))
+    merged = gathered(new.join(old, on, "full_outer"), balance)
+    merged = merged.withColumn("_next", next_key(stored, key))
     arrived = F.col("_arrived").isNotNull()
     return merged.select(
         F.coalesce(f"old_{key}", "_next").alias(key),

@@ -58,6 +58,7 @@ def load_star(
             key,
             natural,
             None if before is None else at_snapshot(before, chosen),
+            backfill,
         )
         replace_snapshots(merged, path(name))
 
@@ -83,10 +84,7 @@ def load_star(
 def _write_facts(
     spark: SparkSession, rows: DataFrame, path: str, key: str, backfill: bool
 ) -> None:
-    if backfill:
-        # Many snapshots at once: gather each one's rows, splitting large ones,
-        # before keys are numbered, so that numbering happens in the writing task.
-        rows = rows.hint("rebalance", "snapshot_date")
+    rows = dimensional.gathered(rows, backfill)
     before = read_table_or_none(spark, path)
     numbered = rows.withColumn(key, dimensional.next_key(before, key))
     replace_snapshots(numbered.select(key, *rows.columns), path)

@@ -81,8 +81,7 @@ def read_feed(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 def discovered_files(spark: SparkSession, folder: str) -> set[str]:
     """Names of the feed files in the folder; each may also be a folder of parts."""
-    name = F.element_at(
-        F.regexp_extract_all("path", F.lit(r"/([^/]+\.txt)(?=/|$)"), F.lit(1)), 1
-    )
+    names = F.regexp_extract_all("path", F.lit(r"/([^/]+\.txt)(?=/|$)"), F.lit(1))
+    name = F.get(names, F.lit(0))
     found = list_files(spark, folder).select(name.alias("name")).distinct()
     return {r["name"] for r in found.where("name IS NOT NULL").collect()}
