@@ -11,8 +11,10 @@ at equal places, and only about one suffix in eighteen is an anchor.
 3. Groups are built into suffix trees down to the depth of the window. An inner
    node as deep as the window is a repeat; its smallest document keeps it.
 4. A prefix with more suffixes than fit in memory (``group_rows``) is made
-   longer, up to the whole window. At that length a subtree is a single node,
-   so that a minimum by key, combined before the shuffle, replaces the tree.
+   longer: first to all words an anchor stands for, where equal ones fold to
+   the smallest document's, then, for what is left, to the whole window. At
+   that length a subtree is a single node, so a minimum by key, combined before
+   the shuffle, replaces the tree.
 
 Texts are compared by their words in the trees and by 128 bits of hash in
 step 4; no other decision rests on a hash. A third of all documents may share
@@ -39,13 +41,13 @@ from tramline.session import scratch_dir
 
 WINDOW = 50
 PREFIX = 16
-GROUP_ROWS = 2048
-SHIFT = np.uint64(1 << 63)
+GROUP_ROWS = 16_384
 
 ANCHOR_SCHEMA = "doc_id long, prefix long, times long"
 CHUNK_SCHEMA = "prefix long, doc_id long, version long, at long, words string"
-WINDOW_SCHEMA = "h1 long, h2 long, doc_id long, version long, at long"
-RUN_SCHEMA = "doc_id long, version long, lo long, hi long"
+HOT_SCHEMA = "h1 long, h2 long, doc_id long, version long, at array<long>, w1 array<long>, w2 array<long>"
+SPANS = "array<struct<lo: bigint, hi: bigint>>"
+RUN_SCHEMA = f"doc_id long, version long, spans {SPANS}"
 RESULT_SCHEMA = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
@@ -149,33 +151,50 @@ def _chunks(window: int, prefix: int):
     return run
 
 
-def _windows(window: int, prefix: int):
-    """For prefixes of the length of the window: a 128-bit hash of each window."""
+def _halves(digests: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+
+
+def _hot_chunks(window: int, prefix: int):
+    """For longer prefixes: a 128-bit hash of what each anchor stands for, and of its windows.
+
+    Equal ones of one text share a row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["h1", "h2", "doc_id", "version", "at", "w1", "w2"]
         for batch in batches:
             ids, versions = batch.column("doc_id"), batch.column("version")
-            for at, data, starts, ends, words, text, first, last, _ in _repeated_runs(batch, True, window, prefix):
-                raw, digests, places, owners = data.tobytes(), [], [], []
+            for base, data, starts, ends, words, text, first, last, _ in _repeated_runs(batch, True, window, prefix):
+                raw = data.tobytes()
+                places: dict[tuple[int, bytes], list[int]] = {}
+                held: dict[bytes, list[bytes]] = {}
                 for t, f, z in zip(text.tolist(), first.tolist(), last.tolist()):
                     parts = raw[starts[f] : ends[z + window - 1]].split()
-                    for i in range(z - f + 1):
-                        digests.append(xxhash.xxh3_128_digest(b" ".join(parts[i : i + window])))
-                    places.extend(range(f - int(words[t]), z + 1 - int(words[t])))
-                    owners.extend([t + at] * (z - f + 1))
-                both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-                rows = pa.array(owners, pa.int64())
-                for lo in range(0, len(places), 1 << 16):
-                    cut = slice(lo, lo + (1 << 16))
+                    digest = xxhash.xxh3_128_digest(b" ".join(parts))
+                    places.setdefault((t, digest), []).append(f - int(words[t]))
+                    if digest not in held:
+                        held[digest] = [
+                            xxhash.xxh3_128_digest(b" ".join(parts[i : i + window])) for i in range(z - f + 1)
+                        ]
+                keys = list(places)
+                for lo in range(0, len(keys), 1 << 14):
+                    part = keys[lo : lo + (1 << 14)]
+                    both = _halves([d for _, d in part])
+                    inner = _halves([w for _, d in part for w in held[d]])
+                    at = np.concatenate([[0], np.cumsum([len(held[d]) for _, d in part])]).astype(np.int32)
+                    rows = pa.array([base + t for t, _ in part], pa.int64())
                     yield pa.record_batch(
                         [
-                            pa.array(both[cut, 0].copy()),
-                            pa.array(both[cut, 1].copy()),
-                            ids.take(rows[cut]),
-                            versions.take(rows[cut]),
-                            pa.array(places[cut], pa.int64()),
+                            pa.array(both[:, 0].copy()),
+                            pa.array(both[:, 1].copy()),
+                            ids.take(rows),
+                            versions.take(rows),
+                            pa.array([places[k] for k in part], pa.list_(pa.int64())),
+                            pa.ListArray.from_arrays(at, inner[:, 0].copy()),
+                            pa.ListArray.from_arrays(at, inner[:, 1].copy()),
                         ],
-                        names=["h1", "h2", "doc_id", "version", "at"],
+                        names=names,
                     )
 
     return run
@@ -234,14 +253,16 @@ def _trees(window: int):
         last = np.append(first[1:], len(chunk)) - 1
         base = np.asarray(table.column("at"))[chunk[first]]
         versions = np.asarray(table.column("version"))
+        spans = pa.StructArray.from_arrays(
+            [pa.array(base + at[first]), pa.array(base + at[last[: len(first)]] + window)], ["lo", "hi"]
+        )
         return pa.record_batch(
             [
                 pa.array(docs[chunk[first]]),
                 pa.array(versions[chunk[first]]),
-                pa.array(base + at[first]),
-                pa.array(base + at[last[: len(first)]] + window),
+                pa.ListArray.from_arrays(np.arange(len(first) + 1, dtype=np.int32), spans),
             ],
-            names=["doc_id", "version", "lo", "hi"],
+            names=["doc_id", "version", "spans"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,8 +292,10 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         runs, versions = batch.column("runs"), batch.column("version").to_pylist()
         totals, removed, digests, kept = [], [], [], []
         at, values = np.asarray(runs.offsets), runs.values
-        whose = np.asarray(values.field("version"))
-        lo, hi = np.asarray(values.field("lo")), np.asarray(values.field("hi"))
+        spans = values.field("spans")
+        whose = np.repeat(np.asarray(values.field("version")), np.diff(np.asarray(spans.offsets)))
+        at = np.asarray(spans.offsets)[at]
+        lo, hi = np.asarray(spans.values.field("lo")), np.asarray(spans.values.field("hi"))
         for i, text in enumerate(batch.column("text")):
             words = (text.as_py() or "").encode().split()
             total = len(words)
@@ -301,7 +324,10 @@ def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _spans(anchors: DataFrame, docs: DataFrame, window: int, prefix: int, group_rows: int) -> DataFrame:
-    """Word spans [lo, hi) of repeated windows by document and version of its text."""
+    """Word spans [lo, hi) of repeated windows by document and version of its text.
+
+    All parts read the same shuffled texts within one plan, so texts move once.
+    """
     repeated = (
         anchors.groupBy("prefix")
         .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.sum("times").alias("rows"))
@@ -323,14 +349,26 @@ def _spans(anchors: DataFrame, docs: DataFrame, window: int, prefix: int, group_
         .sortWithinPartitions("prefix")
         .mapInArrow(_trees(window), RUN_SCHEMA)
     )
-    windows = marked.where(F.exists("marks", lambda m: m.hot)).mapInArrow(_windows(window, prefix), WINDOW_SCHEMA)
-    owners = windows.groupBy("h1", "h2").agg(F.min("doc_id").alias("owner"))
-    nodes = (
-        windows.join(owners, ["h1", "h2"])
-        .where("doc_id > owner")
-        .select("doc_id", "version", F.col("at").alias("lo"), (F.col("at") + window).alias("hi"))
+    chunks = marked.where(F.exists("marks", lambda m: m.hot)).mapInArrow(_hot_chunks(window, prefix), HOT_SCHEMA)
+    # Equal chunks fold to the smallest document's; only that one has windows of its own to look up.
+    firsts = chunks.groupBy("h1", "h2").agg(F.min("doc_id").alias("owner"), F.first("w1").alias("w1"), F.first("w2").alias("w2"))
+    nodes = firsts.select("h1", "h2", "owner", F.posexplode(F.arrays_zip("w1", "w2")).alias("k", "w")).select(
+        "h1", "h2", "owner", "k", F.col("w.w1").alias("w1"), F.col("w.w2").alias("w2")
+    )
+    least = nodes.groupBy("w1", "w2").agg(F.min("owner").alias("least"))
+    gone = nodes.join(least, ["w1", "w2"]).groupBy("h1", "h2").agg(
+        F.min("owner").alias("owner"),
+        F.count("*").alias("n"),
+        F.collect_list(F.when(F.col("owner") > F.col("least"), F.col("k"))).alias("ks"),
+    )
+    whole = F.expr(f"transform(at, a -> struct(a AS lo, a + n - 1 + {window} AS hi))")
+    own = F.expr(f"flatten(transform(at, a -> transform(ks, k -> struct(a + k AS lo, a + k + {window} AS hi))))")
+    folded = (
+        chunks.select("h1", "h2", "doc_id", "version", "at")
+        .join(gone, ["h1", "h2"])
+        .select("doc_id", "version", F.when(F.col("doc_id") > F.col("owner"), whole).otherwise(own).cast(SPANS).alias("spans"))
     )
-    return trees.unionByName(nodes)
+    return trees.unionByName(folded)
 
 
 def remove_repeats(
@@ -350,8 +388,8 @@ def remove_repeats(
     anchors = spark.read.schema(ANCHOR_SCHEMA).parquet(path)
     docs = docs.select("doc_id", "text", F.xxhash64("text").alias("version"))
     spans = _spans(anchors, docs, window, prefix, group_rows)
-    runs = spans.groupBy("doc_id").agg(F.collect_list(F.struct("version", "lo", "hi")).alias("runs"))
-    none = F.expr("CAST(array() AS array<struct<version: bigint, lo: bigint, hi: bigint>>)")
+    runs = spans.groupBy("doc_id").agg(F.collect_list(F.struct("version", "spans")).alias("runs"))
+    none = F.expr(f"CAST(array() AS array<struct<version: bigint, spans: {SPANS}>>)")
     return (
         docs.join(runs, "doc_id", "left")
         .withColumn("runs", F.coalesce("runs", none))
