@@ -4,10 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tramline.llm import substring
+from tramline.llm import (
+    decontamination,
+    grammar,
+    html_text,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    substring,
+    token_counts,
+    warc,
+)
+from tramline.session import scratch_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +61,124 @@ def query(sql: str | None = None):
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents", "doc_id", "text")
     return substring.remove_repeats(docs).drop("kept_text")
+
+
+@query()
+def op2_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query()
+def op9_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+
+
+@query()
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return token_counts.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query(
+    r"""
+    WITH doc AS (
+      SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+      FROM documents),
+    item AS (
+      SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+      FROM benchmark),
+    ds AS (
+      SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM doc WHERE len(w) > 0)),
+    its AS (
+      SELECT DISTINCT item_id, array_to_string(w[i:i + 4], ' ') AS s
+      FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM item WHERE len(w) > 0)),
+    n AS (SELECT item_id, count(*) AS n_shingles FROM its GROUP BY item_id)
+    SELECT doc_id, item_id, n_shingles, count(*) AS n_shared, count(*) / n_shingles AS containment
+    FROM ds JOIN its USING (s) JOIN n USING (item_id)
+    GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= ceil(0.8 * n_shingles)
+    """
+)
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontamination.contained_items(docs, _table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+@query()
+def op4_nnls_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op5_grammar_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, folder = _table(spark, sf_dir, "documents", "doc_id", "text"), scratch_dir(spark, "grammar")
+    grammar.write_shards(docs, public_tokenizers.path("word_bpe_49k.json"), folder)
+    return grammar.read_shards(spark, folder)
+
+
+@query()
+def op6_layout_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(_table(spark, sf_dir, "pages", "page_id", "html"))
+
+
+def _spans_sql() -> str:
+    """Spans of all rules: running lengths of the matches and of the text between them."""
+    parts = []
+    for rank, rule in enumerate(secret_scan.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(
+            f"""
+            SELECT doc_id, {rank} AS rank, '{rule.kind}' AS kind, least, lo, lo + length(whole[i]) AS hi
+            FROM (
+              SELECT doc_id, i, whole, length(part[i]) AS least,
+                     list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+                     + coalesce(list_sum(list_transform(whole[1:i - 1], lambda x: length(x))), 0) AS lo
+              FROM (
+                SELECT doc_id, unnest(range(1, len(whole) + 1)) AS i, whole, part, gaps
+                FROM (
+                  SELECT doc_id, regexp_extract_all(t, '{pattern}', 0) AS whole,
+                         regexp_extract_all(t, '{pattern}', {rule.group}) AS part,
+                         string_split_regex(t, '{pattern}') AS gaps
+                  FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents))))
+            WHERE least >= {rule.least}
+            """
+        )
+    return " UNION ALL ".join(parts)
+
+
+@query(
+    f"""
+    WITH spans AS ({_spans_sql()}),
+    named AS (
+      SELECT doc_id, rank, kind, lo, kind || ':' || CAST(lo AS BIGINT) || ':' || CAST(hi AS BIGINT) AS s FROM spans),
+    per AS (
+      SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+             count(*) FILTER (kind = 'hex') AS n_hex,
+             string_agg(s, ',' ORDER BY lo, rank) FILTER (kind IN ('assign', 'access', 'hex')) AS base,
+             string_agg(s, ',' ORDER BY lo, rank) AS spans
+      FROM named GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+           sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM documents LEFT JOIN per USING (doc_id)
+    """
+)
+def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.find_secrets(_table(spark, sf_dir, "documents", "doc_id", "text")))
+
+
+@query(
+    """
+    WITH p AS (
+      SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+    h AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS head FROM p)
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+           CASE WHEN n >= 100 AND page_id <> head THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 100 AND page_id <> head THEN head END AS refers_to
+    FROM h
+    """
+)
+def op8_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "warc")
+    warc.write_archives(_table(spark, sf_dir, "pages", "page_id", "url", "html"), folder)
+    return warc.read_archives(spark, folder)
