@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from checks import stored, views
 from checks.registry import add
-from tramline.functions.snapshots import ALL
 from tramline.plans import cards, realtime, relational, star
 
 LABEL = (
@@ -19,7 +20,8 @@ LABEL = (
 
 
 def _a(plan):
-    return lambda spark, sf: plan(views.newest(spark, sf), ALL)
+    """On the stored history, with the operators' own choice of the newest snapshot."""
+    return lambda spark, sf: plan(stored.relational_history(spark, sf))
 
 
 add(
@@ -314,6 +316,45 @@ add(
     "count(DISTINCT stop_id) AS paradas_activas, "
     "round(avg(arrival_seconds), 6) AS media_segundos FROM recent",
 )
+AT = dt.datetime(2024, 1, 15, 12)
+HOUR = (
+    "SELECT * FROM arrivals WHERE event_timestamp >= TIMESTAMP '2024-01-15 11:00:00' "
+    "AND event_timestamp <= TIMESTAMP '2024-01-15 12:00:00'"
+)
+for name, plan, sql in (
+    (
+        "r01_arrivals_per_line_at",
+        realtime.arrivals_per_line,
+        "SELECT line, count(*) AS total_llegadas FROM recent GROUP BY 1",
+    ),
+    (
+        "r02_arrivals_per_minute_at",
+        realtime.arrivals_per_minute,
+        "SELECT date_trunc('minute', event_timestamp) AS minuto, count(*) AS total_llegadas "
+        "FROM recent GROUP BY 1",
+    ),
+    (
+        "r03_waiting_time_per_line_at",
+        realtime.waiting_time_per_line,
+        "SELECT line, round(avg(arrival_seconds), 6) AS media_segundos, "
+        "min(arrival_seconds) AS minimo_segundos, max(arrival_seconds) AS maximo_segundos "
+        "FROM recent GROUP BY 1",
+    ),
+    (
+        "r04_busiest_stops_at",
+        realtime.busiest_stops,
+        "SELECT stop_id, count(*) AS total_llegadas FROM recent GROUP BY 1 "
+        "ORDER BY 2 DESC, 1 NULLS LAST LIMIT 10",
+    ),
+    (
+        "r05_current_state_at",
+        realtime.current_state,
+        "SELECT count(*) AS total_llegadas, count(DISTINCT line) AS lineas_activas, "
+        "count(DISTINCT stop_id) AS paradas_activas, "
+        "round(avg(arrival_seconds), 6) AS media_segundos FROM recent",
+    ),
+):
+    add(name, lambda spark, sf, p=plan: p(views.arrivals(spark, sf), AT), sql, recent=HOUR)
 add(
     "r06_newest_snapshot",
     _d(realtime.newest_snapshot_summary),

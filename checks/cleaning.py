@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from checks import views
 from checks.registry import add
 from tramline import schemas
-from tramline.operators import clean, profile, quality
+from tramline.functions.aggregates import union_all
+from tramline.operators import clean, profile
 
 
 def strip(x: str) -> str:
@@ -156,6 +157,32 @@ for number, dataset in enumerate(
     )
 
 
+def content(frames):
+    """All rows of several datasets as texts, told apart by the dataset."""
+    return union_all(
+        [
+            df.select(
+                F.lit(name).alias("dataset"),
+                F.concat_ws(
+                    "|", *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in df.columns)
+                ).alias("row"),
+            )
+            for name, df in frames.items()
+        ]
+    )
+
+
+def content_sql(selects: dict[str, str], columns=None) -> str:
+    def row(name):
+        own = columns[name] if columns else fields(name)
+        return ", ".join(f"coalesce(CAST({c} AS STRING), '-')" for c in own)
+
+    return " UNION ALL ".join(
+        f"SELECT '{name}' AS dataset, concat_ws('|', {row(name)}) AS row FROM ({sql})"
+        for name, sql in selects.items()
+    )
+
+
 def _counts(selects: dict[str, str]) -> str:
     return " UNION ALL ".join(
         f"SELECT '{name}' AS dataset, count(*) AS rows FROM ({sql})"
@@ -188,8 +215,8 @@ def _text_feed(spark, sf):
 
 add(
     "c15_clean_text_feed",
-    lambda spark, sf: quality.row_counts(clean.clean_text_feed(_text_feed(spark, sf))),
-    _counts({d: text_rules_sql(d) for d in schemas.TEXT_DATASETS}),
+    lambda spark, sf: content(clean.clean_text_feed(_text_feed(spark, sf))),
+    content_sql({d: text_rules_sql(d) for d in schemas.TEXT_DATASETS}),
 )
 add(
     "c15_clean_text_stops",
@@ -198,8 +225,8 @@ add(
 )
 add(
     "c15_clean_typed_feed",
-    lambda spark, sf: quality.row_counts(clean.clean_feed(views.typed_feed(spark, sf))),
-    _counts({d: typed_sql(d) for d in schemas.DATASETS}),
+    lambda spark, sf: content(clean.clean_feed(views.typed_feed(spark, sf))),
+    content_sql({d: typed_sql(d) for d in schemas.DATASETS}),
 )
 add(
     "p19_compare_volumes",

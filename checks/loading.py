@@ -8,6 +8,7 @@ from checks import cleaning, profiling, stored, views
 from checks.registry import add
 from tramline import schemas
 from tramline.functions.aggregates import count_null, union_all
+from tramline.functions.snapshots import ALL, at_snapshot
 from tramline.operators import clean, dimensional, quality
 from tramline.plans import warehouse
 from tramline.session import scratch_dir
@@ -40,9 +41,7 @@ for name in ("routes", "trips"):
 
 def _first_read_stops(spark, sf):
     """First row per stop id by feed position: read, stripped, reduced."""
-    feed = feeds.read_text_feed(
-        spark, _raw_folder(spark, sf), ["routes", "stops"], keep_order=True
-    )
+    feed = feeds.read_text_feed(spark, _raw_folder(spark, sf), ["routes", "stops"])
     return clean.clean_text_feed(feed)["stops"]
 
 
@@ -88,8 +87,8 @@ def _processed(spark, sf):
 PROCESSED_COUNTS = cleaning._counts({d: cleaning.typed_sql(d) for d in schemas.DATASETS})
 add(
     "s05_read_processed",
-    lambda spark, sf: quality.row_counts(_processed(spark, sf)),
-    PROCESSED_COUNTS,
+    lambda spark, sf: cleaning.content(_processed(spark, sf)),
+    cleaning.content_sql({d: cleaning.typed_sql(d) for d in schemas.DATASETS}),
 )
 add(
     "s07_read_table",
@@ -136,14 +135,30 @@ def _replace_one(spark, sf):
     part = views.newest(spark, sf)["trips"].where("direction_id = 1")
     for _ in range(2):
         tables.replace_snapshots(part, path)
-    return quality.history(tables.read_table(spark, path))
+    return tables.read_table(spark, path)
 
 
 add(
     "k03_replace_snapshot",
     _replace_one,
-    "SELECT snapshot_date, count(*) AS total_registros FROM g_trips WHERE direction_id = 1 "
-    "OR snapshot_date <> (SELECT d FROM newest) GROUP BY 1",
+    "SELECT * FROM g_trips WHERE direction_id = 1 OR snapshot_date <> (SELECT d FROM newest)",
+)
+
+
+def _replace_with_nothing(spark, sf):
+    """History of trips after its newest snapshot was reloaded without rows."""
+    path = scratch_dir(spark, "replace")
+    trips = views.history(spark, sf)["trips"]
+    tables.replace_snapshots(trips, path, balance=True)
+    date = warehouse.newest(trips)
+    tables.replace_snapshots(trips.limit(0), path, snapshot=date)
+    return tables.read_table(spark, path)
+
+
+add(
+    "k03_replace_with_empty",
+    _replace_with_nothing,
+    "SELECT * FROM g_trips WHERE snapshot_date <> (SELECT d FROM newest)",
 )
 
 
@@ -184,23 +199,21 @@ def _relational(spark, sf):
     return stored.datasets(spark, root)
 
 
-def _by_snapshot(spark, sf):
-    return union_all(
-        [
-            df.groupBy("snapshot_date")
-            .agg(F.count(F.lit(1)).alias("rows"))
-            .withColumn("dataset", F.lit(name))
-            for name, df in _relational(spark, sf).items()
-        ]
-    )
+def _snapshots_sql(dataset: str) -> str:
+    """A processed dataset as loaded: the newest snapshot, some also an older one."""
+    sql = f"SELECT *, {NEWEST_RAW} AS snapshot_date FROM ({cleaning.typed_sql(dataset)})"
+    if dataset in ("agency", "trips"):
+        sql += f" UNION ALL SELECT *, DATE '2025-12-29' FROM ({cleaning.typed_sql(dataset)})"
+    return sql
 
 
 add(
     "w10_load_relational",
-    _by_snapshot,
-    f"SELECT {NEWEST_RAW} AS snapshot_date, rows, dataset FROM ({PROCESSED_COUNTS}) UNION ALL "
-    "SELECT DATE '2025-12-29', rows, dataset "
-    f"FROM ({PROCESSED_COUNTS}) WHERE dataset IN ('agency', 'trips')",
+    lambda spark, sf: cleaning.content(_relational(spark, sf)),
+    cleaning.content_sql(
+        {d: _snapshots_sql(d) for d in schemas.DATASETS},
+        {d: [*cleaning.fields(d), "snapshot_date"] for d in schemas.DATASETS},
+    ),
 )
 add(
     "v17_loaded_snapshot_counts",
@@ -212,16 +225,24 @@ add(
 # --- star load ------------------------------------------------------------
 
 
+def _newest_of_history(spark, sf):
+    """The operator's choice out of the whole history, with the trips it leads to."""
+    trips = views.history(spark, sf)["trips"]
+    return (
+        at_snapshot(trips, warehouse.newest(trips))
+        .groupBy("snapshot_date")
+        .agg(F.count(F.lit(1)).alias("trips"))
+    )
+
+
 def _star_table(name, *drop):
     return lambda spark, sf: stored.star(spark, sf)[name].drop(*drop)
 
 
 add(
     "w01_newest_snapshot",
-    lambda spark, sf: views.newest(spark, sf)["trips"].agg(
-        F.max("snapshot_date").alias("snapshot_date")
-    ),
-    "SELECT max(snapshot_date) AS snapshot_date FROM g_trips",
+    lambda spark, sf: _newest_of_history(spark, sf),
+    "SELECT snapshot_date, count(*) AS trips FROM n_trips GROUP BY 1",
 )
 add("w02_dim_route", _star_table("dim_route", "route_key"), "SELECT * FROM g_routes")
 add("w03_dim_stop", _star_table("dim_stop", "stop_key"), "SELECT * FROM g_stops")
@@ -263,10 +284,10 @@ add(
 )
 
 
-def _reload(spark, sf):
+def _reloaded(spark, sf):
     """The newest snapshot loaded over a star that already has it, part of it gone.
 
-    Returns rows, kept dimension keys and foreign-key gaps per table.
+    Returns the star and the folder of the dimensions before the second load.
     """
     path = scratch_dir(spark, "reload")
     snapshot = views.newest(spark, sf).all()
@@ -281,7 +302,12 @@ def _reload(spark, sf):
         ),
     }
     warehouse.load_star(spark, fewer, path)
-    star = warehouse.open_star(spark, path)
+    return warehouse.open_star(spark, path), before
+
+
+def _reload(spark, sf):
+    """Rows, distinct keys and kept dimension keys per table."""
+    star, before = _reloaded(spark, sf)
     parts = []
     for name in warehouse.STAR:
         key = dimensional.KEYS[name][0]
@@ -332,6 +358,49 @@ add(
 )
 
 
+add(
+    "w07_reload_routes",
+    lambda spark, sf: _reloaded(spark, sf)[0]["dim_route"].drop("route_key"),
+    "SELECT * REPLACE (CASE WHEN CAST(route_id AS INT) % 2 = 0 THEN 'renamed' "
+    "ELSE route_long_name END AS route_long_name) FROM n_routes",
+)
+
+
+def _reload_without_facts(spark, sf):
+    """A snapshot reloaded with trips of unknown routes: facts go, dimensions stay."""
+    path = scratch_dir(spark, "emptied")
+    data = views.history(spark, sf)
+    warehouse.load_star(spark, data, path, ALL)
+    orphans = data["trips"].withColumn("route_id", F.concat(F.lit("no "), "route_id"))
+    warehouse.load_star(spark, {**data, "trips": orphans}, path)
+    star = warehouse.open_star(spark, path)
+    return union_all(
+        [
+            star[name]
+            .groupBy("snapshot_date")
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .withColumn("name", F.lit(name))
+            for name in warehouse.STAR
+        ]
+    )
+
+
+add(
+    "w07_reload_without_facts",
+    _reload_without_facts,
+    union(
+        f"SELECT snapshot_date, count(*) AS rows, '{name}' AS name FROM {origin} {where} GROUP BY 1"
+        for name, origin, where in (
+            ("dim_route", "g_routes", ""),
+            ("dim_stop", "g_stops", ""),
+            ("dim_service", "s_service", ""),
+            ("fact_trip", "s_trip", "WHERE snapshot_date <> (SELECT d FROM newest)"),
+            ("fact_stop_time", "s_call", "WHERE snapshot_date <> (SELECT d FROM newest)"),
+        )
+    ),
+)
+
+
 def _key_totals(spark, sf):
     star = stored.star(spark, sf)
     return union_all(

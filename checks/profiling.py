@@ -41,6 +41,22 @@ add(
     _clean(lambda df: profile.head(df, "trip_id"), "trips"),
     "SELECT * FROM n_trips ORDER BY trip_id LIMIT 5",
 )
+for name, order in (
+    ("agency", "agency_name"),
+    ("routes", "route_id"),
+    ("stops", "stop_id"),
+    ("calendar", "service_id"),
+):
+    add(
+        f"p01_head_{name}",
+        _clean(lambda df, o=order: profile.head(df, o), name),
+        f"SELECT * FROM g_{name} WHERE snapshot_date = (SELECT d FROM newest) ORDER BY {order} LIMIT 5",
+    )
+add(
+    "p01_head_stop_times",
+    _clean(lambda df: profile.head(df, "trip_id", "stop_sequence", "stop_id"), "stop_times"),
+    "SELECT * FROM n_stop_times ORDER BY trip_id, stop_sequence, stop_id LIMIT 5",
+)
 add(
     "p01_shape",
     _typed(profile.shape),
@@ -70,7 +86,7 @@ def describe_sql(dataset: str) -> str:
     return union(one(c) for c in cleaning.fields(dataset))
 
 
-for name in ("routes", "trips", "stop_times"):
+for name in schemas.TEXT_DATASETS:
     add(f"p02_describe_{name}", _one(profile.describe_text, name), describe_sql(name))
 
 add(
@@ -250,19 +266,13 @@ add(
 )
 
 
-def _partly_named(tables):
-    """Every third route is missing, so its trips have no name."""
-    routes = tables["routes"].where("CAST(route_id AS INT) % 3 <> 0")
-    return profile.top_routes({"trips": tables["trips"], "routes": routes})
-
-
 add(
     "p17_top_routes",
-    _clean(_partly_named),
+    _clean(profile.top_routes),
     "SELECT route_short_name, route_long_name, num_trips, "
     "coalesce(route_short_name, t.route_id) AS etiqueta "
     "FROM (SELECT route_id, count(*) AS num_trips FROM n_trips GROUP BY 1) t "
-    "LEFT JOIN (SELECT * FROM n_routes WHERE CAST(route_id AS INT) % 3 <> 0) r "
+    "LEFT JOIN n_routes r "
     "ON r.route_id = t.route_id ORDER BY num_trips DESC, t.route_id LIMIT 20",
 )
 add(

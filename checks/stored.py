@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from checks import views
 from tramline import schemas
-from tramline.functions.snapshots import ALL
+from tramline.functions.snapshots import ALL, Tables
 from tramline.operators import clean
-from tramline.plans.warehouse import STAR, load_star, open_star
+from tramline.plans.warehouse import STAR, load_star, newest_dates, open_star, open_tables
 from tramline.session import scratch_dir
 from tramline.sources import listing, tables
 from tramline.streaming import jobs
@@ -56,7 +56,9 @@ def star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def lazy_star(spark: SparkSession, sf_dir: str) -> views.Lazy:
     root = star_root(spark, sf_dir)
-    return views.Lazy(STAR, lambda name: tables.read_table(spark, f"{root}/{name}"))
+    lazy = views.Lazy(STAR, lambda name: tables.read_table(spark, f"{root}/{name}"))
+    lazy.newest = newest_dates(spark, root)
+    return lazy
 
 
 def build_star(spark: SparkSession, sf_dir: str, path: str) -> DataFrame:
@@ -71,6 +73,7 @@ def write_feed(feed: dict[str, DataFrame], folder: str) -> None:
     for name, df in feed.items():
         (
             df.write.option("header", True)
+            .option("escape", '"')
             .option("ignoreLeadingWhiteSpace", False)
             .option("ignoreTrailingWhiteSpace", False)
             .csv(f"{folder}/{name}.txt")
@@ -132,5 +135,16 @@ def stream_root(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "stream", build) + "/out"
 
 
+def relational_history(spark: SparkSession, sf_dir: str) -> Tables:
+    """The relational tables with every yearly snapshot, as the loads leave them."""
+
+    def build(path: str) -> None:
+        for name, df in views.history(spark, sf_dir).items():
+            tables.replace_snapshots(df, f"{path}/{name}", balance=True)
+
+    root = _once(spark, sf_dir, "history", build)
+    return open_tables(spark, root, schemas.DATASETS)
+
+
 def datasets(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     return {name: tables.read_table(spark, f"{root}/{name}") for name in schemas.DATASETS}

@@ -93,7 +93,7 @@ PER_SNAPSHOT = {
     ),
     "g_calendar": (
         "nation",
-        "n_regionkey <> 4",
+        None,
         [
             f"{as_text('n_nationkey')} AS service_id",
             *(f"{flag(i)} AS {day}" for i, day in enumerate(schemas.WEEKDAYS)),
@@ -103,7 +103,7 @@ PER_SNAPSHOT = {
     ),
     "g_calendar_dates": (
         "nation",
-        "n_regionkey IN (3, 4) AND n_nationkey <> 24",
+        None,
         [
             f"{as_text('n_nationkey')} AS service_id",
             "DATE '2026-09-14' AS date",
@@ -111,6 +111,19 @@ PER_SNAPSHOT = {
         ],
     ),
 }
+# Rows on top of the driver's: services known only by exception dates, with trips or without.
+EXTRA = {
+    "g_calendar_dates": (
+        "region",
+        None,
+        [
+            "CASE r_regionkey WHEN 0 THEN 'dated' ELSE concat('idle ', CAST(r_regionkey AS STRING)) END "
+            "AS service_id",
+            "DATE '2026-10-12' AS date",
+            "CAST(1 AS INT) AS exception_type",
+        ],
+    ),
+}
 TRIPS = [
     f"{as_text('o_orderkey')} AS trip_id",
     f"{as_text('o_custkey')} AS route_id",
@@ -121,6 +134,16 @@ TRIPS = [
     "CAST(o_orderkey % 3 AS INT) AS wheelchair_accessible",
     f"{SNAPSHOT} AS snapshot_date",
 ]
+# Trips on top of the driver's: of an exceptions-only service, of a service and of a route nobody knows.
+EXTRA_TRIPS_OF = "o_orderkey % 50 = 0"
+EXTRA_TRIPS = [
+    f"concat('x', {as_text('o_orderkey')}) AS trip_id",
+    f"CASE WHEN o_orderkey % 150 = 100 THEN concat('gone ', {as_text('o_custkey % 7')}) "
+    f"ELSE {as_text('o_custkey')} END AS route_id",
+    f"CASE o_orderkey % 150 WHEN 0 THEN 'orphan' WHEN 50 THEN 'dated' "
+    f"ELSE {as_text('o_orderkey % 25')} END AS service_id",
+    *TRIPS[3:],
+]
 STOP_TIMES = [
     f"{as_text('l_orderkey')} AS trip_id",
     f"{as_text('l_partkey')} AS stop_id",
@@ -135,8 +158,8 @@ ARRIVALS = [
     "CASE WHEN event_id % 97 = 0 THEN NULL ELSE event_type END AS line",
     f"{as_text('user_id')} AS route_id",
     f"{as_text('user_id % 50')} AS stop_id",
-    "CAST(floor(value * 10 / 60) AS INT) AS arrival_minutes",
-    "CASE WHEN event_id % 89 = 0 THEN -1 ELSE CAST(floor(value * 10) AS INT) END "
+    "CAST(floor(value * 10 / 60) AS BIGINT) AS arrival_minutes",
+    "CASE WHEN event_id % 89 = 0 THEN -1 ELSE CAST(floor(value * 10) AS BIGINT) END "
     "AS arrival_seconds",
     "concat(CAST(CAST(floor(value * 10 / 60) AS INT) AS STRING), ' min') AS arrival_text",
 ]
@@ -158,9 +181,20 @@ class Lazy(dict):
 
 
 def _per_snapshot(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    table, keep, expressions = PER_SNAPSHOT[f"g_{name}"]
-    df = source(spark, sf_dir, table)
-    return (df.where(keep) if keep else df).selectExpr(*expressions)
+    out = None
+    for parts in (PER_SNAPSHOT, EXTRA):
+        if f"g_{name}" in parts:
+            table, keep, expressions = parts[f"g_{name}"]
+            df = source(spark, sf_dir, table)
+            df = (df.where(keep) if keep else df).selectExpr(*expressions)
+            out = df if out is None else out.unionByName(df)
+    return out
+
+
+def _trips(orders: DataFrame) -> DataFrame:
+    return orders.selectExpr(*TRIPS).unionByName(
+        orders.where(EXTRA_TRIPS_OF).selectExpr(*EXTRA_TRIPS)
+    )
 
 
 def history(spark: SparkSession, sf_dir: str) -> Tables:
@@ -171,7 +205,7 @@ def history(spark: SparkSession, sf_dir: str) -> Tables:
 
     def opened(name: str) -> DataFrame:
         if name == "trips":
-            return orders.selectExpr(*TRIPS)
+            return _trips(orders)
         if name == "stop_times":
             return _stop_times(spark, sf_dir, orders)
         rows = _per_snapshot(spark, sf_dir, name)
@@ -192,7 +226,7 @@ def newest(spark: SparkSession, sf_dir: str) -> Lazy:
 
     def opened(name: str) -> DataFrame:
         if name == "trips":
-            return recent.selectExpr(*TRIPS)
+            return _trips(recent)
         if name == "stop_times":
             return _stop_times(spark, sf_dir, recent)
         return _per_snapshot(spark, sf_dir, name).withColumn("snapshot_date", date)
@@ -306,7 +340,7 @@ DIRTY = {
     "calendar": (
         "nation",
         "n_nationkey",
-        "n_regionkey <> 4",
+        None,
         [
             f"{dirty_id(as_text('n_nationkey'), 'n_nationkey')} AS service_id",
             *(f"{as_text(flag(i))} AS {day}" for i, day in enumerate(schemas.WEEKDAYS)),
@@ -317,7 +351,7 @@ DIRTY = {
     "calendar_dates": (
         "nation",
         "n_nationkey",
-        "n_regionkey IN (3, 4)",
+        None,
         [
             f"{dirty_id(as_text('n_nationkey'), 'n_nationkey')} AS service_id",
             "CASE WHEN n_nationkey % 11 = 3 THEN 'bad' ELSE '20260914' END AS date",
@@ -330,12 +364,12 @@ DIRTY = {
 def dirty_parts(dataset: str, order: bool = False) -> list[tuple[str | None, list[str]]]:
     """(row filter, expressions) of the original rows and of the appended copies.
 
-    Every 20th row comes twice; for stops, the copy has another name.
+    Every 20th row comes twice; for stops, the copy has another name, with quotes in it.
     """
     _, key, keep, expressions = DIRTY[dataset]
     copies = list(expressions)
     if dataset == "stops":
-        copies[2] = "'Another name' AS stop_name"
+        copies[2] = "'Plaza \"Nova\" 2' AS stop_name"
     parts = []
     for position, (extra, exprs) in enumerate(
         ((None, list(expressions)), (f"{key} % 20 = 0", copies))
@@ -378,14 +412,21 @@ def typed_feed(spark: SparkSession, sf_dir: str, datasets=schemas.DATASETS) -> T
 # --- arrival messages -----------------------------------------------------
 
 _MINUTES = "CAST(CAST(floor(value * 10 / 60) AS INT) AS STRING)"
-_SECONDS = "CAST(CAST(floor(value * 10) AS INT) AS STRING)"
-STAMP = "1704067200 + event_id"
+# One wait is longer than 32 bits hold.
+SECONDS = "CASE WHEN event_id % 109 = 0 THEN 3000000000 ELSE CAST(floor(value * 10) AS BIGINT) END"
+_SECONDS = f"CAST({SECONDS} AS STRING)"
+# Some times are in nanoseconds or milliseconds.
+STAMP = (
+    "(1704067200 + event_id) * CASE WHEN event_id % 103 = 0 THEN 1000000000 "
+    "WHEN event_id % 107 = 0 THEN 1000 ELSE 1 END"
+)
 # Which rule a message breaks, in the order the checks run.
 BROKEN = (
     ("event_id % 101 = 0", "not_object"),
     ("event_id % 73 = 0", "unexpected_field"),
     ("event_id % 83 = 0", "missing_field"),
     ("event_id % 97 = 0", "blank_field"),
+    ("event_id % 103 = 0 OR event_id % 107 = 0", "bad_timestamp"),
     ("event_id % 79 = 0", "not_integer"),
     ("event_id % 89 = 0", "negative"),
 )
@@ -437,7 +478,14 @@ def ctes() -> dict[str, str]:
             f"SELECT {', '.join(expressions)}, s.snapshot_date "
             f"FROM {table}, snapshots s{where}"
         )
-    out["g_trips"] = f"SELECT {', '.join(TRIPS)} FROM orders"
+    for view, (table, _, expressions) in EXTRA.items():
+        out[view] += (
+            f" UNION ALL SELECT {', '.join(expressions)}, s.snapshot_date FROM {table}, snapshots s"
+        )
+    out["g_trips"] = (
+        f"SELECT {', '.join(TRIPS)} FROM orders UNION ALL "
+        f"SELECT {', '.join(EXTRA_TRIPS)} FROM orders WHERE {EXTRA_TRIPS_OF}"
+    )
     out["g_stop_times"] = (
         f"SELECT {', '.join(STOP_TIMES)} FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
     )
@@ -457,7 +505,7 @@ def ctes() -> dict[str, str]:
     code = " ".join(f"WHEN {rule} THEN '{name}'" for rule, name in BROKEN)
     out["msg"] = (
         f"SELECT event_id, user_id, event_type, CAST({STAMP} AS BIGINT) AS stamp, "
-        f"CAST(floor(value * 10 / 60) AS INT) AS mins, CAST(floor(value * 10) AS INT) AS secs, "
+        f"CAST(floor(value * 10 / 60) AS BIGINT) AS mins, CAST({SECONDS} AS BIGINT) AS secs, "
         f"{MESSAGE} AS value, CASE {code} END AS error_code FROM events"
     )
     return out

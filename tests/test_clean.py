@@ -9,22 +9,22 @@ from tramline.sources.feed import SOURCE_ROW
 
 
 def test_routes_keep_ids_and_trim_names(frame):
-    row = (" R1 ", " L1 ", " Ruta 1 ", "3")
+    row = ("  0x7", "N9 ", "  Harbour line", "7")
     df = frame(
         "route_id STRING, route_short_name STRING, route_long_name STRING, route_type STRING",
         row,
         row,
     )
-    assert rows(clean.clean_routes(df)) == [(" R1 ", "L1", "Ruta 1", 3)]
+    assert rows(clean.clean_routes(df)) == [("  0x7", "N9", "Harbour line", 7)]
 
 
 def test_trips(frame):
     df = frame(
         "trip_id STRING, route_id STRING, service_id STRING, trip_headsign STRING, "
         "direction_id STRING",
-        (" T1 ", " R1 ", " S1 ", " Centro ", "1"),
+        ("a-1 ", " 0x7", "wk ", "  Old port", "0"),
     )
-    assert rows(clean.clean_trips(df)) == [(" T1 ", " R1 ", " S1 ", "Centro", 1)]
+    assert rows(clean.clean_trips(df)) == [("a-1 ", " 0x7", "wk ", "Old port", 0)]
 
 
 def test_stops_without_coordinates_go(frame):
@@ -51,17 +51,17 @@ def test_stop_times(frame):
 def test_calendar_and_exceptions(frame):
     df = frame(
         "service_id STRING, start_date STRING, end_date STRING",
-        ("C1", "20260101", "20261231"),
-        ("C2", "bad", "20261231"),
+        ("wk", "20250301", "20250630"),
+        ("we", "soon", "20250630"),
     )
     assert rows(clean.clean_calendar(df)) == [
-        ("C1", dt.date(2026, 1, 1), dt.date(2026, 12, 31)),
-        ("C2", None, dt.date(2026, 12, 31)),
+        ("we", None, dt.date(2025, 6, 30)),
+        ("wk", dt.date(2025, 3, 1), dt.date(2025, 6, 30)),
     ]
     dates = frame(
-        "service_id STRING, date INT, exception_type STRING", ("C1", 20260914, "2")
+        "service_id STRING, date INT, exception_type STRING", ("wk", 20250417, "1")
     )
-    assert rows(clean.clean_calendar_dates(dates)) == [("C1", dt.date(2026, 9, 14), 2)]
+    assert rows(clean.clean_calendar_dates(dates)) == [("wk", dt.date(2025, 4, 17), 1)]
 
 
 @pytest.fixture

@@ -5,8 +5,11 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from checks import views
 from tramline.functions.aggregates import surplus_rows
+from tramline.functions.snapshots import ALL
 from tramline.operators import dimensional
+from tramline.plans import realtime, relational, warehouse
 
 SF = "/root/testdata/sf0.001"
 
@@ -21,7 +24,7 @@ def test_top_k_never_sorts_everything(spark, name):
 
 
 def test_scans_read_only_what_they_need(spark):
-    plan = physical_plan(entry.queries()["a07_top_services"](spark, SF))
+    plan = physical_plan(relational.top_services(views.newest(spark, SF), ALL))
     assert "ReadSchema: struct<o_orderkey:bigint,o_orderdate:timestamp_ntz>" in plan
     assert re.search(r"PushedFilters: \[IsNotNull\(o_orderdate\), GreaterThanOrEqual\(o_orderdate", plan)
 
@@ -36,6 +39,41 @@ def test_cards_prune_partitions(spark):
     assert "PartitionFilters: [isnotnull(snapshot_date" in plan
 
 
+@pytest.mark.parametrize("name", ["a01_top_routes", "a03_top_stops", "a06_calendar_exceptions", "b06_top_stops", "r06_newest_snapshot"])
+def test_the_newest_snapshot_is_named_not_looked_for(spark, name):
+    """Every scan of a history table has the date as a partition filter."""
+    names = [n for n in entry.queries() if n.startswith(name[:4])]
+    plan = physical_plan(entry.queries()[names[0]](spark, SF))
+    scans = re.findall(r"FileScan parquet .*?PartitionFilters: \[(.*?)\]", plan)
+    assert scans and all("snapshot_date" in s and "ubquery" not in s for s in scans)
+
+
+def test_a_load_reads_no_stored_facts(spark, tmp_path):
+    """Keys go on from the control table; only one partition of the dimensions is read."""
+    data = views.history(spark, SF)
+    dates = sorted(r.snapshot_date for r in data["trips"].select("snapshot_date").distinct().collect())
+    for date in dates[-2:]:
+        warehouse.load_star(spark, data, str(tmp_path), date)
+    assert warehouse.highest_keys(spark, str(tmp_path))["fact_trip"] > 0
+    star = warehouse.open_star(spark, str(tmp_path))
+    for name, table in star.items():
+        key = dimensional.KEYS[name][0]
+        assert table.count() == table.select(key).distinct().count()
+    assert star.newest["fact_trip"] == dates[-1]
+
+
+def test_latest_arrivals_read_the_newest_days(spark, frame, tmp_path):
+    rows = [(f"2026-01-{d:02d}", d * 100 + i) for d in range(1, 9) for i in range(d)]
+    df = frame("day STRING, n INT", *rows).selectExpr(
+        "CAST(day AS DATE) AS event_date", "timestamp_seconds(unix_timestamp(CAST(day AS DATE)) + n) AS event_timestamp",
+        "'a' AS line", "'b' AS stop_id", "'c' AS route_id", "n AS arrival_seconds",
+    )
+    df.write.partitionBy("event_date").parquet(str(tmp_path / "t"))
+    found = realtime.latest_arrivals(spark.read.parquet(str(tmp_path / "t")), 12)
+    assert [r.arrival_seconds for r in found.collect()] == [n for _, n in sorted(rows, key=lambda r: -r[1])][:12]
+    assert re.search(r"PartitionFilters: \[isnotnull\(event_date.*?\), \(event_date.*? >= Subquery", physical_plan(found))
+
+
 def test_hot_stop_is_split_in_a_sort_merge_join(spark):
     """A stop that holds a third of all calls, with sides too large to broadcast."""
     calls = spark.range(0, 60_000, 1, 8).selectExpr(

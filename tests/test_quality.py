@@ -7,12 +7,13 @@ from tramline.operators import quality
 
 @pytest.fixture
 def valid(frame):
+    """Two lines that share a stop."""
     return {
-        "routes": frame("route_id STRING", ("R1",)),
-        "trips": frame("trip_id STRING, route_id STRING", ("T1", "R1")),
-        "stops": frame("stop_id STRING, stop_lat DOUBLE, stop_lon DOUBLE", ("S1", 41.38, 2.17)),
-        "stop_times": frame("trip_id STRING, stop_id STRING", ("T1", "S1")),
-        "calendar": frame("service_id STRING", ("C1",)),
+        "routes": frame("route_id STRING", ("R1",), ("night",)),
+        "trips": frame("trip_id STRING, route_id STRING", ("T1", "R1"), ("late", "night")),
+        "stops": frame("stop_id STRING, stop_lat DOUBLE, stop_lon DOUBLE", ("S1", 40.5, 1.75)),
+        "stop_times": frame("trip_id STRING, stop_id STRING", ("T1", "S1"), ("late", "S1")),
+        "calendar": frame("service_id STRING", ("wk",), ("we",)),
     }
 
 
@@ -27,11 +28,11 @@ def test_valid_data_passes_the_gate(valid):
 @pytest.mark.parametrize(
     "name, schema, bad, rule, field, n",
     [
-        ("routes", "route_id STRING", [("R1",), (None,)], "null_identifier", "route_id", 1),
+        ("routes", "route_id STRING", [("R1",), ("night",), (None,)], "null_identifier", "route_id", 1),
         (
             "trips",
             "trip_id STRING, route_id STRING",
-            [("T1", "R2"), ("T2", "R2"), ("T3", "R1")],
+            [("T1", "R2"), ("T2", "R2"), ("late", "R1")],
             "missing_reference",
             "route_id",
             1,

@@ -5,8 +5,8 @@ import pytest
 from conftest import rows
 
 from tramline import schemas
-from tramline.operators import quality
-from tramline.plans.batch import run_batch, stage_feed
+from tramline.operators import clean, quality
+from tramline.plans.batch import run_batch, run_text_batch, stage_feed
 from tramline.session import scratch_dir
 from tramline.sources import feed, listing, tables
 
@@ -49,7 +49,9 @@ def test_typed_feed_by_header_name(spark, tmp_path):
 def test_text_feed_keeps_tokens_and_nulls_blanks(spark, tmp_path):
     data = feed.read_text_feed(spark, write_feed(tmp_path))
     assert set(data) == set(schemas.TEXT_DATASETS)
-    assert all(t == "string" for df in data.values() for _, t in df.dtypes)
+    kinds = {c: t for df in data.values() for c, t in df.dtypes}
+    assert kinds.pop(feed.SOURCE_ROW).startswith("struct")  # the position of a stop
+    assert set(kinds.values()) == {"string"}
     names = {r.route_id: r.route_short_name for r in data["routes"].collect()}
     assert names["0001"] == "NA"
     assert data["stop_times"].where("arrival_time IS NULL").count() == 1
@@ -61,6 +63,41 @@ def test_optional_file_may_be_missing(spark, tmp_path):
     assert data["calendar_dates"].columns == ["service_id", "date", "exception_type"]
 
 
+def test_doubled_quotes_are_one(spark, tmp_path):
+    stops = FILES["stops"].replace("Uno", '"Pl. ""Nova"" 3, b"')
+    data = feed.read_text_feed(spark, write_feed(tmp_path, stops=stops), ["stops"])
+    assert 'Pl. "Nova" 3, b' in [r.stop_name for r in data["stops"].collect()]
+
+
+def test_the_first_row_of_a_stop_wins(spark, tmp_path):
+    rows_ = FILES["stops"] + "S1,9,Zeta,41.0,2.0,,0,,1\nS1,9,Alfa,41.0,2.0,,0,,1\n"
+    text = rows_.replace("S1,0012,Uno", "S1,0012,Zzz")
+    data = feed.read_text_feed(spark, write_feed(tmp_path, stops=text), ["routes", "stops"])
+    kept = clean.clean_text_feed(data)["stops"]
+    assert {r.stop_id: r.stop_name for r in kept.collect()}["S1"] == "Zzz"
+
+
+def test_a_batch_without_the_optional_file(spark, tmp_path):
+    write_feed(
+        tmp_path / "raw",
+        calendar_dates=None,
+        trips=FILES["trips"].replace("D1", "C1"),
+    )
+    report = run_batch(spark, str(tmp_path / "raw"), str(tmp_path / "lake"), str(tmp_path / "wh"))
+    assert rows(report) == [("fact_stop_time", 3), ("fact_trip", 2)]
+
+
+def test_text_batch(spark, tmp_path):
+    write_feed(tmp_path / "raw", stops=FILES["stops"] + "S1,0012,Again,41.38,2.17,,0,,1\n")
+    for _ in range(2):  # the same output again
+        report = run_text_batch(spark, str(tmp_path / "raw"), str(tmp_path / "csv"))
+    by_name = {r.dataset: r for r in report.collect()}
+    assert by_name["stops"].rows == 2 and by_name["stops"].duplicate_stop_ids == 0
+    assert by_name["stop_times"].rows == 3 and by_name["stop_times"].duplicates == 0
+    stops = spark.read.option("header", True).csv(str(tmp_path / "csv" / "2026-01-05" / "stops.csv"))
+    assert sorted(r.stop_name for r in stops.collect()) == ["Dos", "Uno"]
+
+
 def test_missing_column_is_an_error(spark, tmp_path):
     with pytest.raises(feed.FeedError, match="exception_type"):
         feed.read_feed(spark, write_feed(tmp_path, calendar_dates="service_id,date\nC1,20260914\n"))

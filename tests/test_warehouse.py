@@ -112,6 +112,50 @@ def test_duplicate_natural_keys_stop_the_load(spark, frame, tmp_path):
     assert not list(tmp_path.iterdir())
 
 
+def test_a_reload_without_facts_removes_the_old_ones(spark, frame, tmp_path):
+    root = str(tmp_path)
+    warehouse.load_star(spark, snapshot(frame, JAN), root)
+    both = {n: df.unionByName(snapshot(frame, FEB)[n]) for n, df in snapshot(frame, JAN).items()}
+    warehouse.load_star(spark, both, root)
+    orphans = snapshot(frame, FEB, trips=(("T1", "nowhere", "C1"),))
+    assert rows(warehouse.load_star(spark, orphans, root)) == [("fact_stop_time", 0), ("fact_trip", 0)]
+    full = warehouse.open_star(spark, root)
+    assert full["fact_trip"].count() == 2 == full["fact_stop_time"].count()
+    assert full.newest["fact_trip"] == JAN and full.newest["dim_route"] == FEB
+    assert rows(cards.total_trips(full)) == [(2,)]
+
+
+def test_a_failed_load_leaves_the_star_as_it_was(spark, frame, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    warehouse.load_star(spark, snapshot(frame, JAN), root)
+    before = {n: rows(df) for n, df in warehouse.open_star(spark, root).items()}
+    changed = snapshot(frame, JAN, routes=("R1", "R3"), trips=(("T1", "R1", "C1"),))
+
+    def fail(*_):
+        raise OSError("disk")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(dimensional, "stop_time_facts", fail)  # dimensions and trips are staged
+        with pytest.raises(OSError):
+            warehouse.load_star(spark, changed, root)
+    assert {n: rows(df) for n, df in warehouse.open_star(spark, root).items()} == before
+    warehouse.load_star(spark, changed, root)
+    assert warehouse.open_star(spark, root)["fact_trip"].count() == 1
+
+
+def test_an_empty_snapshot_replaces_the_old_one(spark, frame, tmp_path):
+    path = str(tmp_path / "t")
+    df = frame("a INT, snapshot_date DATE", (1, JAN), (2, FEB))
+    tables.replace_snapshots(df, path)
+    tables.replace_snapshots(df.limit(0), path, snapshot=FEB)
+    assert rows(tables.read_table(spark, path)) == [(1, JAN)]
+    tables.replace_snapshots(df.limit(0), path, snapshot=str(JAN))
+    assert rows(tables.read_table(spark, path)) == []
+    tables.replace_snapshots(df, path)
+    tables.replace_snapshots(df.where("a = 1"), path, snapshot=ALL)
+    assert rows(tables.read_table(spark, path)) == [(1, JAN)]
+
+
 def test_no_trips_is_an_error(spark, frame, tmp_path):
     data = snapshot(frame, JAN)
     data["trips"] = data["trips"].limit(0)

@@ -11,6 +11,23 @@ ALL = "all"
 Snapshot = dt.date | str | Column | None
 
 
+class Tables(dict):
+    """Tables by name, with the newest stored snapshot of each where it is known.
+
+    The dates come from the names of partition folders, so that queries on the
+    newest snapshot name it and never look through the history for it.
+    """
+
+    def __init__(self, tables: dict[str, DataFrame], newest: dict[str, dt.date | None]):
+        super().__init__(tables)
+        self.newest = newest
+
+
+def or_newest(snapshot: Snapshot, tables: dict[str, DataFrame], name: str) -> Snapshot:
+    """The given snapshot, or the newest one of a table if its date is known."""
+    return getattr(tables, "newest", {}).get(name) if snapshot is None else snapshot
+
+
 def latest_snapshot(df: DataFrame) -> Column:
     """``MAX(snapshot_date)`` as an uncorrelated scalar subquery.
 

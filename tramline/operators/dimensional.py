@@ -21,17 +21,14 @@ KEYS = {
 }
 
 
-def next_key(table: DataFrame | None, key: str) -> Column:
-    """A new surrogate key per row, above every key of the stored table.
+def next_key(above: int) -> Column:
+    """A new surrogate key per row, above every key given out so far.
 
     Numbers come from the task index and the position within the task: unique
     without a shuffle, a global sort or a second pass. They are final once the
     table is written, so readers of the key must read the written table.
     """
-    number = F.monotonically_increasing_id() + 1
-    if table is None:
-        return number
-    return F.coalesce(table.select(F.max(key)).scalar(), F.lit(0)) + number
+    return F.monotonically_increasing_id() + (above + 1)
 
 
 def gathered(df: DataFrame, balance: bool = True) -> DataFrame:
@@ -99,26 +96,25 @@ def upsert(
     incoming: DataFrame,
     key: str,
     natural: Sequence[str],
-    scope: DataFrame | None = None,
+    above: int = 0,
     balance: bool = False,
 ) -> DataFrame:
     """Incoming rows with the key of the stored row they replace, or a new key.
 
-    Stored rows without a successor stay. ``scope`` is the part of ``stored``
-    that can match (one snapshot of the history); new keys start above all of it.
+    Stored rows without a successor stay. ``stored`` is the part of the table that
+    can match (one snapshot of the history); new keys start above ``above``.
     ``balance`` gathers each snapshot's rows for the write. That happens before
     keys are numbered, so that the writing task numbers them.
     """
     columns = [key, *incoming.columns]
     if stored is None:
         rows = gathered(incoming, balance)
-        return rows.withColumn(key, next_key(None, key)).select(*columns)
-    scope = stored if scope is None else scope
-    old = scope.select(*(F.col(c).alias(f"old_{c}") for c in columns))
+        return rows.withColumn(key, next_key(above)).select(*columns)
+    old = stored.select(*(F.col(c).alias(f"old_{c}") for c in columns))
     new = incoming.withColumn("_arrived", F.lit(True))
     on = [new[c] == old[f"old_{c}"] for c in natural]
     merged = gathered(new.join(old, on, "full_outer"), balance)
-    merged = merged.withColumn("_next", next_key(stored, key))
+    merged = merged.withColumn("_next", next_key(above))
     arrived = F.col("_arrived").isNotNull()
     return merged.select(
         F.coalesce(f"old_{key}", "_next").alias(key),

@@ -26,8 +26,8 @@ def _cells(df: DataFrame) -> DataFrame:
     return texts.unpivot([], list(df.columns), "column_name", "value")
 
 
-def head(df: DataFrame, key: str, n: int = 5) -> DataFrame:
-    return df.orderBy(key).limit(n)
+def head(df: DataFrame, *keys: str, n: int = 5) -> DataFrame:
+    return df.orderBy(*keys).limit(n)
 
 
 def shape(datasets: Datasets) -> DataFrame:

@@ -1,7 +1,8 @@
 """Dashboard cards over the newest snapshot of the star schema.
 
-The newest date is a scalar subquery on the fact or dimension the card counts,
-so partitions are pruned at run time.
+The newest date comes from the star's folder names, so other partitions are
+pruned when the query is planned; without it, from a scalar subquery on the fact
+or dimension the card counts.
 """
 
 from __future__ import annotations
@@ -9,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.functions.snapshots import Snapshot, at_snapshot
+from tramline.functions.snapshots import Snapshot, at_snapshot, or_newest
 from tramline.functions.text import transport_label
 
 Star = dict[str, DataFrame]
@@ -17,6 +18,7 @@ Star = dict[str, DataFrame]
 
 def _trips(star: Star, snapshot: Snapshot) -> DataFrame:
     """Trip counts per route key with the route of the same snapshot."""
+    snapshot = or_newest(snapshot, star, "fact_trip")
     counts = (
         at_snapshot(star["fact_trip"], snapshot)
         .groupBy("route_key", "snapshot_date")
@@ -51,24 +53,26 @@ def top_lines(star: Star, snapshot: Snapshot = None, n: int = 10) -> DataFrame:
     )
 
 
-def _rows(df: DataFrame, snapshot: Snapshot, label: str) -> DataFrame:
-    return at_snapshot(df, snapshot).agg(F.count(F.lit(1)).alias(label))
+def _rows(star: Star, name: str, snapshot: Snapshot, label: str) -> DataFrame:
+    rows = at_snapshot(star[name], or_newest(snapshot, star, name))
+    return rows.agg(F.count(F.lit(1)).alias(label))
 
 
 def total_trips(star: Star, snapshot: Snapshot = None) -> DataFrame:
-    return _rows(star["fact_trip"], snapshot, "total_viajes")
+    return _rows(star, "fact_trip", snapshot, "total_viajes")
 
 
 def total_stops(star: Star, snapshot: Snapshot = None) -> DataFrame:
-    return _rows(star["dim_stop"], snapshot, "total_paradas")
+    return _rows(star, "dim_stop", snapshot, "total_paradas")
 
 
 def total_lines(star: Star, snapshot: Snapshot = None) -> DataFrame:
-    return _rows(star["dim_route"], snapshot, "total_lineas")
+    return _rows(star, "dim_route", snapshot, "total_lineas")
 
 
 def top_stops(star: Star, snapshot: Snapshot = None, n: int = 10) -> DataFrame:
     """Grouped by stop key; only the name is printed."""
+    snapshot = or_newest(snapshot, star, "fact_stop_time")
     calls = (
         at_snapshot(star["fact_stop_time"], snapshot)
         .groupBy("stop_key", "snapshot_date")

@@ -9,19 +9,20 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tramline.functions.snapshots import at_snapshot
+from tramline.functions.snapshots import at_snapshot, or_newest
 
 NEWEST = "newest"
 AsOf = dt.datetime | str | None
 
 
 def last_hour(arrivals: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Predictions of the hour before ``as_of``; the bound is pushed into the scan.
+    """Predictions of the hour before ``as_of``; the bounds are pushed into the scan.
 
-    On a table with ``event_date`` partitions only the days of that hour are read.
+    A given time ends the window, on the day and the time. The present and the
+    newest prediction need no end. On a table with ``event_date`` partitions only the days of that hour are read.
     """
     hour = F.expr("INTERVAL 1 HOUR")
     daily = "event_date" in arrivals.columns
@@ -36,7 +37,13 @@ def last_hour(arrivals: DataFrame, as_of: AsOf = None) -> DataFrame:
     else:
         start = F.lit(as_of) - hour
     recent = arrivals.where(F.col("event_timestamp") >= start)
-    return recent.where(F.col("event_date") >= F.to_date(start)) if daily else recent
+    if daily:
+        recent = recent.where(F.col("event_date") >= F.to_date(start))
+    if as_of is not None and as_of != NEWEST:
+        recent = recent.where(F.col("event_timestamp") <= F.lit(as_of))
+        if daily:
+            recent = recent.where(F.col("event_date") <= F.to_date(F.lit(as_of)))
+    return recent
 
 
 def arrivals_per_line(arrivals: DataFrame, as_of: AsOf = None) -> DataFrame:
@@ -96,7 +103,7 @@ def current_state(arrivals: DataFrame, as_of: AsOf = None) -> DataFrame:
 
 def newest_snapshot_summary(star: dict[str, DataFrame]) -> DataFrame:
     """Trips, routes and services of the newest loaded snapshot."""
-    trips = at_snapshot(star["fact_trip"])
+    trips = at_snapshot(star["fact_trip"], or_newest(None, star, "fact_trip"))
     pairs = trips.groupBy("snapshot_date", "route_key", "service_key").agg(
         F.count(F.lit(1)).alias("n")
     )
@@ -108,6 +115,17 @@ def newest_snapshot_summary(star: dict[str, DataFrame]) -> DataFrame:
 
 
 def latest_arrivals(arrivals: DataFrame, n: int = 20) -> DataFrame:
+    """The newest predictions.
+
+    On a table with ``event_date`` partitions only the newest days that hold
+    ``n`` rows together are read; rows per day come from the files' footers.
+    """
+    if "event_date" in arrivals.columns:
+        days = arrivals.where("event_date IS NOT NULL").groupBy("event_date").agg(F.count(F.lit(1)).alias("rows"))
+        later = Window.orderBy(F.desc("event_date")).rowsBetween(Window.unboundedPreceding, -1)
+        days = days.withColumn("before", F.coalesce(F.sum("rows").over(later), F.lit(0)))
+        first = days.where(F.col("before") < n).agg(F.min("event_date")).scalar()
+        arrivals = arrivals.where(F.col("event_date") >= first)
     return arrivals.orderBy(
         F.desc("event_timestamp"),
         F.asc_nulls_last("line"),

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tramline.functions.snapshots import Snapshot, at_snapshot
+from tramline.functions.snapshots import Snapshot, at_snapshot, or_newest
 from tramline.functions.text import transport_label
 
 Tables = dict[str, DataFrame]
@@ -18,6 +18,7 @@ Tables = dict[str, DataFrame]
 
 def scoped(tables: Tables, snapshot: Snapshot, *names: str) -> list[DataFrame]:
     """The named tables at one snapshot, the newest being that of the trips."""
+    snapshot = or_newest(snapshot, tables, "trips")
     return [at_snapshot(tables[n], snapshot, of=tables["trips"]) for n in names]
 
 

@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.functions.snapshots import ALL, Snapshot, at_snapshot
+from tramline.functions.snapshots import ALL, Snapshot, Tables, at_snapshot, or_newest
 from tramline.operators import dimensional, quality
-from tramline.sources.tables import read_table, read_table_or_none, replace_snapshots
-
+from tramline.sources.listing import file_system, newest_stored_snapshot
+from tramline.sources.tables import (
+    read_table,
+    read_table_or_none,
+    stage_snapshots,
+    swap_snapshots,
+)
+
+CONTROL_SCHEMA = "name STRING, highest BIGINT"
 STAR = tuple(dimensional.KEYS)
 # Natural keys that must be unique before a load, as the star's constraints demand.
 AUDITED = ("routes", "stops", "calendar", "trips")
@@ -22,6 +32,25 @@ def newest(trips: DataFrame):
     return date
 
 
+def highest_keys(spark: SparkSession, root: str) -> dict[str, int]:
+    """The highest surrogate key given out per table: one small row per load and table.
+
+    A table from before the control table is looked through once.
+    """
+    control = f"{root}/control"
+    system, target = file_system(spark, control)
+    known: dict[str, int] = {}
+    if system.exists(target):
+        rows = spark.read.schema(CONTROL_SCHEMA).json(control).groupBy("name").agg(F.max("highest"))
+        known = {name: highest for name, highest in rows.collect()}
+    for name in STAR:
+        if name not in known:
+            before = read_table_or_none(spark, f"{root}/{name}")
+            found = before and before.agg(F.max(dimensional.KEYS[name][0])).first()[0]
+            known[name] = found or 0
+    return known
+
+
 def load_star(
     spark: SparkSession,
     tables: dict[str, DataFrame],
@@ -31,63 +60,55 @@ def load_star(
 ) -> DataFrame:
     """Load dimensions and facts of one snapshot (default: the newest); returns the report.
 
-    ``ALL`` loads every stored snapshot in one pass. Each table swaps its
-    snapshots when its write commits. Facts get new keys on every load and
-    dimensions keep theirs; a load that fails between two tables is repaired by
-    running it again.
+    ``ALL`` loads every stored snapshot in one pass. All five tables are written
+    next to the star and swapped in at the end by renaming folders: a load that
+    fails before leaves the star as it was. Facts get new keys on every load and
+    dimensions keep theirs. No stored fact is read: keys go on from the control
+    table, which is written before the swap, so no key is given out twice.
     """
-    last = newest(tables["trips"])
+    root = root.rstrip("/")
+    last = or_newest(None, tables, "trips") or newest(tables["trips"])
     backfill = isinstance(snapshot, str) and snapshot == ALL
     chosen = snapshot if snapshot is not None else last
     scoped = {name: at_snapshot(df, chosen) for name, df in tables.items()}
     if audit:
         quality.gate(quality.key_audit({n: scoped[n] for n in AUDITED}))
-
-    def path(name: str) -> str:
-        return f"{root.rstrip('/')}/{name}"
-
-    def stored(name: str) -> DataFrame:
-        return at_snapshot(read_table(spark, path(name)), chosen)
-
+    above = highest_keys(spark, root)
+    staging = f"{root}/.load-{uuid.uuid4().hex}"
+
+    def stage(name: str, rows: DataFrame) -> DataFrame:
+        key, watch = dimensional.KEYS[name][0], Observation()
+        watched = rows.observe(watch, F.max(key).alias("highest"))
+        # Keys are numbered after the rows are dealt out, so this write must not deal them again.
+        stage_snapshots(watched, f"{staging}/{name}", chosen)
+        above[name] = max(above[name], watch.get["highest"] or 0)
+        return read_table(spark, f"{staging}/{name}")
+
+    staged = {}
     for name, rows in dimensional.DIMENSION_ROWS.items():
+        before = read_table_or_none(spark, f"{root}/{name}")
+        scope = None if before is None else at_snapshot(before, chosen)
         key, natural = dimensional.KEYS[name]
-        before = read_table_or_none(spark, path(name))
-        merged = dimensional.upsert(
-            before,
-            rows(scoped),
-            key,
-            natural,
-            None if before is None else at_snapshot(before, chosen),
-            backfill,
-        )
-        replace_snapshots(merged, path(name))
-
-    _write_facts(
-        spark,
-        dimensional.trip_facts(scoped["trips"], stored("dim_route"), stored("dim_service")),
-        path("fact_trip"),
-        "trip_key",
-        backfill,
-    )
-    _write_facts(
-        spark,
-        dimensional.stop_time_facts(
-            scoped["stop_times"], stored("fact_trip"), stored("dim_stop")
-        ),
-        path("fact_stop_time"),
-        "stop_time_key",
-        backfill,
-    )
+        merged = dimensional.upsert(scope, rows(scoped), key, natural, above[name], backfill)
+        staged[name] = stage(name, merged)
+    trips = dimensional.trip_facts(scoped["trips"], staged["dim_route"], staged["dim_service"])
+    staged["fact_trip"] = stage("fact_trip", _numbered(trips, "fact_trip", above, backfill))
+    calls = dimensional.stop_time_facts(scoped["stop_times"], staged["fact_trip"], staged["dim_stop"])
+    stage("fact_stop_time", _numbered(calls, "fact_stop_time", above, backfill))
+
+    control = spark.createDataFrame(list(above.items()), CONTROL_SCHEMA)
+    control.coalesce(1).write.mode("append").json(f"{root}/control")
+    for name in STAR:
+        swap_snapshots(spark, f"{staging}/{name}", f"{root}/{name}", chosen)
+    system, target = file_system(spark, staging)
+    system.delete(target, True)
     return load_report(spark, root, chosen)
 
 
-def _write_facts(
-    spark: SparkSession, rows: DataFrame, path: str, key: str, backfill: bool
-) -> None:
+def _numbered(rows: DataFrame, name: str, above: dict[str, int], backfill: bool) -> DataFrame:
+    key = dimensional.KEYS[name][0]
     rows = dimensional.gathered(rows, backfill)
-    before = read_table_or_none(spark, path)
-    numbered = rows.withColumn(key, dimensional.next_key(before, key))
-    replace_snapshots(numbered.select(key, *rows.columns), path)
+    return rows.withColumn(key, dimensional.next_key(above[name])).select(key, *rows.columns)
 
 
 def load_report(spark: SparkSession, root: str, snapshot: Snapshot = ALL) -> DataFrame:
@@ -100,11 +121,22 @@ def load_report(spark: SparkSession, root: str, snapshot: Snapshot = ALL) -> Dat
     )
 
 
-def open_star(
-    spark: SparkSession, root: str, snapshot: Snapshot = ALL
-) -> dict[str, DataFrame]:
-    """The five tables, over the whole history or one snapshot."""
-    return {
+def newest_dates(spark: SparkSession, root: str, names: Iterable[str] = STAR) -> dict:
+    """The newest snapshot of each table, from one listing of its folders."""
+    return {n: newest_stored_snapshot(spark, f"{root.rstrip('/')}/{n}") for n in names}
+
+
+def open_tables(
+    spark: SparkSession, root: str, names: Iterable[str], snapshot: Snapshot = ALL
+) -> Tables:
+    """Tables below ``root``, over the whole history or one snapshot."""
+    names = tuple(names)
+    opened = {
         name: at_snapshot(read_table(spark, f"{root.rstrip('/')}/{name}"), snapshot)
-        for name in STAR
+        for name in names
     }
+    return Tables(opened, newest_dates(spark, root, names))
+
+
+def open_star(spark: SparkSession, root: str, snapshot: Snapshot = ALL) -> Tables:
+    return open_tables(spark, root, STAR, snapshot)

@@ -199,11 +199,11 @@ STAR_FOREIGN_KEYS = (
 # Arrival messages, and the flat table they end in.
 ARRIVAL_MESSAGE = struct(
     "timestamp BIGINT, destination STRING, line STRING, route_id STRING, stop STRING, "
-    "time_in_minutes INT, time_in_seconds INT, text_ca STRING"
+    "time_in_minutes BIGINT, time_in_seconds BIGINT, text_ca STRING"
 )
 ARRIVALS = struct(
     "event_timestamp TIMESTAMP, destination STRING, line STRING, route_id STRING, "
-    "stop_id STRING, arrival_minutes INT, arrival_seconds INT, arrival_text STRING"
+    "stop_id STRING, arrival_minutes BIGINT, arrival_seconds BIGINT, arrival_text STRING"
 )
 
 # Printed labels and map colours.

@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline import schemas
-from tramline.sources.listing import list_files
+from tramline.sources.listing import entries
 
 SOURCE_ROW = "_source_row"
+ORDERED = ("stops",)  # datasets with a "first row wins" rule
 
 
 class FeedError(ValueError):
@@ -22,27 +23,33 @@ def file_path(folder: str, dataset: str) -> str:
 
 
 def read_text(spark: SparkSession, folder: str, dataset: str) -> DataFrame:
-    """One file with every column as text; only the header line is looked at."""
-    return spark.read.option("header", True).csv(file_path(folder, dataset))
+    """One file with every column as text; only the header line is looked at.
+
+    A doubled quote inside a quoted field is one quote. Feed files may not hold
+    line breaks in fields, so files stay splittable.
+    """
+    return (
+        spark.read.option("header", True).option("escape", '"').csv(file_path(folder, dataset))
+    )
 
 
 def read_text_feed(
     spark: SparkSession,
     folder: str,
     datasets: Iterable[str] = schemas.TEXT_DATASETS,
-    keep_order: bool = False,
+    ordered: Iterable[str] = ORDERED,
 ) -> dict[str, DataFrame]:
     """The mandatory files as text columns.
 
     An empty field is NULL; tokens such as ``NA`` stay text, they can be names.
-    ``keep_order`` adds the position of each row in the feed, which "first row
-    wins" rules need. It is fixed by file, split and row, so a repeated task
-    yields the same value.
+    Datasets in ``ordered`` get the position of each row in the feed, which
+    "first row wins" rules need. It is fixed by file, split and row, so a
+    repeated task yields the same value.
     """
     out = {}
     for name in datasets:
         df = read_text(spark, folder, name)
-        if keep_order:
+        if name in ordered:
             df = df.withColumn(
                 SOURCE_ROW,
                 F.struct(
@@ -81,7 +88,8 @@ def read_feed(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 def discovered_files(spark: SparkSession, folder: str) -> set[str]:
     """Names of the feed files in the folder; each may also be a folder of parts."""
-    names = F.regexp_extract_all("path", F.lit(r"/([^/]+\.txt)(?=/|$)"), F.lit(1))
-    name = F.get(names, F.lit(0))
-    found = list_files(spark, folder).select(name.alias("name")).distinct()
-    return {r["name"] for r in found.where("name IS NOT NULL").collect()}
+    return {
+        name
+        for name, is_folder, size in entries(spark, folder)
+        if name.endswith(".txt") and (is_folder or size)
+    }

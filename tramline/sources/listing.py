@@ -1,17 +1,47 @@
-"""Snapshot discovery from folder names, listed by Spark on any file system."""
+"""Snapshot discovery from folder names, one level at a time, on any file system."""
 
 from __future__ import annotations
 
 import datetime as dt
+import re
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+
+EMPTY_MARK = "_EMPTY"
 
 
 class SnapshotNotFound(FileNotFoundError):
     """No usable snapshot below the given root."""
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path as it knows it."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def entries(spark: SparkSession, folder: str) -> list[tuple[str, bool, int]]:
+    """``(name, is a folder, bytes)`` of what lies directly in a folder.
+
+    One listing request, however much lies below. A missing folder is a
+    ``FileNotFoundError``; other failures of the storage stay what they are.
+    """
+    system, target = file_system(spark, folder)
+    try:
+        found = system.listStatus(target)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getName() == "java.io.FileNotFoundException":
+            raise FileNotFoundError(folder) from error
+        raise
+    return [(s.getPath().getName(), s.isDirectory(), s.getLen()) for s in found]
+
+
+def subfolders(spark: SparkSession, folder: str) -> list[str]:
+    return [name for name, is_folder, _ in entries(spark, folder) if is_folder]
+
+
 def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """``path, length, modificationTime`` of every file below ``root``.
 
@@ -23,66 +53,70 @@ def list_files(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     return reader.load(root).select("path", "length", "modificationTime")
 
 
-def raw_snapshots(spark: SparkSession, root: str) -> DataFrame:
-    """``snapshot_date, path`` of every ``<root>/<yyyy-mm-dd>/extracted`` folder."""
-    folder = F.regexp_extract("path", r"^(.*/\d{4}-\d{2}-\d{2}/extracted)/", 1)
-    return (
-        list_files(spark, root)
-        .select(folder.alias("path"))
-        .where("path <> ''")
-        .distinct()
-        .select(
-            F.expr(
-                r"try_to_date(regexp_extract(path, '/(\\d{4}-\\d{2}-\\d{2})/extracted$', 1))"
-            ).alias("snapshot_date"),
-            "path",
-        )
-        .where("snapshot_date IS NOT NULL")
-    )
+def _qualified(spark: SparkSession, path: str) -> str:
+    system, target = file_system(spark, path)
+    return system.makeQualified(target).toString()
+
+
+def _newest_first(spark: SparkSession, root: str, pattern: str) -> list[str]:
+    """Folder names that match, newest first; numbers are compared as numbers."""
+    try:
+        names = [n for n in subfolders(spark, root) if re.fullmatch(pattern, n)]
+    except FileNotFoundError as error:
+        raise SnapshotNotFound(f"cannot list {root}") from error
+    return sorted(names, key=lambda n: [int(x) for x in re.findall(r"\d+", n)], reverse=True)
+
+
+def _date(*parts: str) -> dt.date | None:
+    try:
+        return dt.date(*map(int, parts))
+    except ValueError:
+        return None
 
 
 def latest_raw_snapshot(spark: SparkSession, root: str) -> tuple[dt.date, str]:
-    """The newest raw snapshot: its date and the folder its files lie in.
+    """The newest ``<root>/<yyyy-mm-dd>/extracted`` with anything in it: date and folder.
 
-    Date and folder come from the same row, so they can never disagree.
+    Dates are tried from the newest on, so old snapshots are never listed.
     """
-    try:
-        row = raw_snapshots(spark, root).orderBy(F.desc("snapshot_date")).first()
-    except Exception as error:  # the root itself is missing
-        raise SnapshotNotFound(f"cannot list {root}: {error}") from error
-    if row is None:
-        raise SnapshotNotFound(f"no <date>/extracted folder below {root}")
-    return row["snapshot_date"], row["path"]
-
-
-def processed_snapshots(spark: SparkSession, root: str) -> DataFrame:
-    """``snapshot_date, path`` of every ``year=/month=/day=`` folder below ``root``."""
-    part = r"^(.*/year=(\d+)/month=(\d+)/day=(\d+))/"
-    return (
-        list_files(spark, root, "*.parquet")
-        .select(
-            F.regexp_extract("path", part, 1).alias("path"),
-            *(
-                F.regexp_extract("path", part, i + 2).alias(name)
-                for i, name in enumerate(("y", "m", "d"))
-            ),
-        )
-        .where("path <> ''")
-        .distinct()
-        .select(
-            F.expr(
-                "make_date(CAST(y AS INT), CAST(m AS INT), CAST(d AS INT))"
-            ).alias("snapshot_date"),
-            "path",
-        )
-    )
+    root = root.rstrip("/")
+    for name in _newest_first(spark, root, r"\d{4}-\d{2}-\d{2}"):
+        date, folder = _date(*name.split("-")), f"{root}/{name}/extracted"
+        if date and "extracted" in subfolders(spark, f"{root}/{name}") and entries(spark, folder):
+            return date, _qualified(spark, folder)
+    raise SnapshotNotFound(f"no <date>/extracted folder below {root}")
 
 
 def latest_processed_snapshot(spark: SparkSession, root: str) -> tuple[dt.date, str]:
+    """The newest ``year=/month=/day=`` folder with a dataset in it, level by level."""
+    root = root.rstrip("/")
+    for year in _newest_first(spark, root, r"year=\d+"):
+        for month in _newest_first(spark, f"{root}/{year}", r"month=\d+"):
+            for day in _newest_first(spark, f"{root}/{year}/{month}", r"day=\d+"):
+                date = _date(*(x.split("=")[1] for x in (year, month, day)))
+                folder = f"{root}/{year}/{month}/{day}"
+                if date and subfolders(spark, folder):
+                    return date, _qualified(spark, folder)
+    raise SnapshotNotFound(f"no processed snapshot below {root}")
+
+
+def stored_snapshots(spark: SparkSession, table: str) -> list[dt.date]:
+    """The snapshots of a partitioned table, newest first, by the names of its folders."""
     try:
-        row = processed_snapshots(spark, root).orderBy(F.desc("snapshot_date")).first()
-    except Exception as error:
-        raise SnapshotNotFound(f"cannot list {root}: {error}") from error
-    if row is None:
-        raise SnapshotNotFound(f"no processed snapshot below {root}")
-    return row["snapshot_date"], row["path"]
+        names = _newest_first(spark, table, r"snapshot_date=\d{4}-\d{2}-\d{2}")
+    except SnapshotNotFound:
+        return []
+    return [dt.date.fromisoformat(n.split("=")[1]) for n in names]
+
+
+def newest_stored_snapshot(spark: SparkSession, table: str) -> dt.date | None:
+    """The newest snapshot that has rows; one replaced by nothing is marked and passed over."""
+    for date in stored_snapshots(spark, table):
+        if EMPTY_MARK not in {n for n, *_ in entries(spark, f"{table}/snapshot_date={date}")}:
+            return date
+    return None
+
+
+def is_missing(error: AnalysisException) -> bool:
+    """Whether there is nothing to read, as opposed to any other failure."""
+    return error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tramline import schemas
+from tramline.functions.snapshots import ALL, Snapshot
+from tramline.sources.listing import EMPTY_MARK, file_system, is_missing, subfolders
 
 
 def day_path(root: str, date: dt.date | str) -> str:
@@ -38,15 +42,20 @@ def write_processed(
 def read_processed(
     spark: SparkSession, folder: str, datasets: tuple[str, ...] = schemas.DATASETS
 ) -> dict[str, DataFrame]:
-    """All Parquet parts of each processed dataset; missing or empty ones are errors."""
+    """All Parquet parts of each processed dataset; missing or empty ones are errors.
+
+    Only an optional dataset may have no rows.
+    """
     out = {}
     for name in datasets:
         path = f"{folder.rstrip('/')}/{name}"
         try:
             df = spark.read.parquet(path)
-        except Exception as error:
+        except AnalysisException as error:
+            if not is_missing(error):
+                raise
             raise FileNotFoundError(f"no Parquet files for {name}: {path}") from error
-        if df.isEmpty():
+        if name not in schemas.OPTIONAL_DATASETS and df.isEmpty():
             raise ValueError(f"the processed dataset {name} has no rows")
         out[name] = df
     return out
@@ -64,21 +73,66 @@ def write_csv(datasets: dict[str, DataFrame], root: str, date: dt.date | str) ->
         )
 
 
-def replace_snapshots(df: DataFrame, path: str, balance: bool = False) -> None:
-    """Replace exactly the snapshots present in ``df``; all others stay as they are.
+def stage_snapshots(
+    df: DataFrame, staged: str, snapshot: Snapshot = None, balance: bool = False
+) -> None:
+    """Write ``df`` by snapshot to a new folder, for ``swap_snapshots``.
 
-    Dynamic partition overwrite swaps the touched partitions when the job
-    commits. ``balance`` spreads a frame of many snapshots so that each file
-    belongs to one snapshot; oversized snapshots are split over several tasks.
+    A date given as ``snapshot`` is written even if no row of it is left: as an
+    empty file that keeps the schema, and a mark. ``balance`` spreads a frame of
+    many snapshots so that each file belongs to one; oversized snapshots are
+    split over several tasks.
     """
-    if balance:
-        df = df.hint("rebalance", "snapshot_date")
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot_date")
-        .parquet(path)
-    )
+    spark = df.sparkSession
+    rows = df.hint("rebalance", "snapshot_date") if balance else df
+    rows.write.partitionBy("snapshot_date").parquet(staged)
+    folder = f"snapshot_date={snapshot}"
+    if named(snapshot) and folder not in subfolders(spark, staged):
+        types = df.drop("snapshot_date").schema
+        spark.createDataFrame([], types).write.parquet(f"{staged}/{folder}")
+        system, mark = file_system(spark, f"{staged}/{folder}/{EMPTY_MARK}")
+        system.create(mark).close()
+
+
+def named(snapshot: Snapshot) -> bool:
+    """Whether the snapshot is a date, not all of them or one to be looked up."""
+    return isinstance(snapshot, dt.date) or isinstance(snapshot, str) and snapshot != ALL
+
+
+def swap_snapshots(
+    spark: SparkSession, staged: str, path: str, snapshot: Snapshot = None
+) -> None:
+    """Put staged snapshots in the place of stored ones, by renaming folders.
+
+    Nothing is computed here. ``ALL`` also drops stored snapshots that were not
+    staged; otherwise they stay as they are.
+    """
+    system, root = file_system(spark, path)
+    system.mkdirs(root)
+    new = {n for n in subfolders(spark, staged) if n.startswith("snapshot_date=")}
+    old = {n for n in subfolders(spark, path) if n.startswith("snapshot_date=")}
+    path_of = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    everything = isinstance(snapshot, str) and snapshot == ALL
+    for name in sorted(old if everything else old & new):
+        system.delete(path_of(f"{path}/{name}"), True)
+    for name in sorted(new):
+        if not system.rename(path_of(f"{staged}/{name}"), path_of(f"{path}/{name}")):
+            raise OSError(f"cannot move {staged}/{name} to {path}")
+    system.delete(path_of(staged), True)
+
+
+def replace_snapshots(
+    df: DataFrame, path: str, balance: bool = False, snapshot: Snapshot = None
+) -> None:
+    """Replace the snapshots present in ``df``, and the one named, even by nothing.
+
+    ``ALL`` replaces every stored snapshot. The new rows are written next to the
+    table and swapped in when they are complete.
+    """
+    path = path.rstrip("/")
+    staged = f"{path}/.staged-{uuid.uuid4().hex}"
+    stage_snapshots(df, staged, snapshot, balance)
+    swap_snapshots(df.sparkSession, staged, path, snapshot)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -87,10 +141,8 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 def read_table_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     """The table, or None while it has never been written."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return spark.read.parquet(path) if fs.exists(target) else None
+    system, target = file_system(spark, path)
+    return spark.read.parquet(path) if system.exists(target) else None
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:
@@ -119,7 +171,7 @@ def append_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
 def load_relational(
     datasets: dict[str, DataFrame], root: str, date: dt.date | str
 ) -> None:
-    """Stamp every dataset with its snapshot date and replace that snapshot."""
+    """Stamp every dataset with its snapshot date and replace that snapshot, even by nothing."""
     for name, df in datasets.items():
         stamped = df.withColumn("snapshot_date", F.lit(str(date)).cast("date"))
-        replace_snapshots(stamped, f"{root.rstrip('/')}/{name}")
+        replace_snapshots(stamped, f"{root.rstrip('/')}/{name}", snapshot=str(date))

@@ -14,6 +14,8 @@ from tramline.functions.aggregates import count_true
 from tramline.functions.text import is_blank
 
 ALERT_SECONDS = 600
+# The last second of the year 9999; larger numbers are not seconds (milliseconds, say).
+LAST_TIMESTAMP = 253_402_300_799
 
 FIELDS = tuple(schemas.ARRIVAL_MESSAGE.fieldNames())
 OPTIONAL = ("destination", "text_ca")
@@ -121,7 +123,8 @@ def check_messages(messages: DataFrame) -> DataFrame:
     for f in TEXTS:
         blank = (F.col(f"_m.kind_{f}") != "STRING") | F.col(f"_m.blank_{f}")
         rules.append((blank, "blank_field", f, BLANK % f))
-    bad_time = _not_integer("timestamp") | (_number("timestamp") <= 0)
+    time = _number("timestamp")
+    bad_time = _not_integer("timestamp") | (time <= 0) | (time > LAST_TIMESTAMP)
     rules.append((bad_time, "bad_timestamp", "timestamp", BAD_TIMESTAMP))
     for f in DURATIONS:
         rules.append((_not_integer(f), "not_integer", f, NOT_INTEGER % f))
@@ -205,9 +208,13 @@ def parse_messages(messages: DataFrame) -> DataFrame:
 
 
 def clean_arrivals(parsed: DataFrame) -> DataFrame:
-    """Trimmed, renamed and ordered as the arrivals table."""
+    """Trimmed, renamed and ordered as the arrivals table.
+
+    A number that is no second of the years up to 9999 has no time: NULL.
+    """
+    known = F.col("timestamp").between(-LAST_TIMESTAMP, LAST_TIMESTAMP)
     return parsed.select(
-        F.timestamp_seconds("timestamp").alias("event_timestamp"),
+        F.timestamp_seconds(F.when(known, F.col("timestamp"))).alias("event_timestamp"),
         F.trim("destination").alias("destination"),
         F.trim("line").alias("line"),
         F.trim("route_id").alias("route_id"),

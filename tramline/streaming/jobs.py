@@ -53,18 +53,28 @@ def kafka_writer(servers: str, topic: str) -> Writer:
     return write
 
 
+# The property in which Spark names the query whose batch is being handled.
+QUERY_ID = "sql.streaming.queryId"
+DIRECT = "direct"  # rows written outside of any query
+
+
 def parquet_writer(path: str, *partitions: str) -> Writer:
     """Batches as partitions of a table; a replayed batch replaces itself.
 
-    An empty batch writes no partition, without being evaluated to find out.
+    A batch is known by its query and number. Queries keep their id as long as
+    their checkpoint, so two queries, or one with a new checkpoint, that write
+    to one table never replace each other's rows. An empty batch writes no
+    partition, without being evaluated to find out.
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
+        query = df.sparkSession.sparkContext.getLocalProperty(QUERY_ID) or DIRECT
         (
-            df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            df.withColumn("query_id", F.lit(query))
+            .withColumn("batch_id", F.lit(batch_id).cast("bigint"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(*partitions, "batch_id")
+            .partitionBy(*partitions, "query_id", "batch_id")
             .parquet(path)
         )
 
