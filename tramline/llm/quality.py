@@ -55,7 +55,7 @@ CLASSES = ("abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "01234567
 SYMBOLS = b"#*$%&|<>"
 
 FEATURES = (
-    "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+    "doc_id long, lang string, version long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
     "n_repeat_words long, n_chars long, chars array<double>, words array<double>"
 )
 
@@ -136,6 +136,7 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             columns = [
                 batch.column("doc_id").slice(rows.start, n),
                 batch.column("lang").slice(rows.start, n),
+                batch.column("version").slice(rows.start, n),
                 pa.array(np.diff(words)),
                 pa.array(chars - per_text(arrays.SEPARATOR[data], offsets)),
                 pa.array(per_text(symbol[data], offsets)),
@@ -180,12 +181,13 @@ def judge(
 ) -> DataFrame:
     """Counts, distances and verdict of each row of ``docs(doc_id, text, lang)``.
 
-    ``char_distance`` and ``word_distance`` are NULL where the guards hold or
+    ``version`` is the XXH64 of the text, to tell rows of one id apart. ``char_distance`` and ``word_distance`` are NULL where the guards hold or
     the language has no profile.
     """
     spark = docs.sparkSession
     path = scratch_dir(spark, "features")
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.col("lang").cast("string"))
+    docs = docs.withColumn("version", F.xxhash64("text"))
     # Written: the texts are read once; profiles and verdicts work on the histograms.
     docs.mapInArrow(_features, FEATURES).write.parquet(path)
     features = spark.read.schema(FEATURES).parquet(path)
@@ -222,5 +224,7 @@ def judge(
             (~F.col("base_failed") & ~far).alias("kept"),
             "char_distance",
             "word_distance",
+            "lang",
+            "version",
         )
     )

@@ -70,7 +70,8 @@ def op2_simhash_pivots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_quality_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.judge(_table(spark, sf_dir, "documents", "doc_id", "text", "lang"))
+    docs = _table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return quality.judge(docs).drop("lang", "version")
 
 
 @query()
