@@ -37,31 +37,11 @@ def gathered(df: DataFrame, balance: bool = True) -> DataFrame:
 
 
 def route_rows(tables: Tables) -> DataFrame:
-    return tables["routes"].select(
-        "route_id",
-        "route_short_name",
-        "route_long_name",
-        "route_type",
-        "route_url",
-        "route_color",
-        "route_text_color",
-        "snapshot_date",
-    )
+    return tables["routes"].select(*schemas.FEED["routes"], "snapshot_date")
 
 
 def stop_rows(tables: Tables) -> DataFrame:
-    return tables["stops"].select(
-        "stop_id",
-        "stop_code",
-        "stop_name",
-        "stop_lat",
-        "stop_lon",
-        "stop_url",
-        "location_type",
-        "parent_station",
-        "wheelchair_boarding",
-        "snapshot_date",
-    )
+    return tables["stops"].select(*schemas.FEED["stops"], "snapshot_date")
 
 
 def service_rows(tables: Tables) -> DataFrame:

@@ -14,43 +14,70 @@ WEEKDAYS = (
     "sunday",
 )
 
-# Raw feed files, DDL type per column. Dates stay yyyyMMdd text and clock times
-# stay text (hours run past 24), so nothing here is ever inferred.
+STRING, INT, BIGINT = T.StringType(), T.IntegerType(), T.LongType()
+DOUBLE, TIMESTAMP = T.DoubleType(), T.TimestampType()
+
+# Columns of the raw feed files. Dates stay yyyyMMdd text and clock
+# times stay text (hours run past 24), so nothing here is ever inferred.
 FEED = {
-    "agency": "agency_name STRING, agency_url STRING, agency_timezone STRING, "
-    "agency_lang STRING, agency_phone STRING",
-    "routes": "route_id STRING, route_short_name STRING, route_long_name STRING, "
-    "route_type INT, route_url STRING, route_color STRING, route_text_color STRING",
-    "trips": "route_id STRING, service_id STRING, trip_id STRING, trip_headsign STRING, "
-    "direction_id INT, shape_id STRING, wheelchair_accessible INT",
-    "stops": "stop_id STRING, stop_code STRING, stop_name STRING, stop_lat DOUBLE, "
-    "stop_lon DOUBLE, stop_url STRING, location_type INT, parent_station STRING, "
-    "wheelchair_boarding INT",
-    "stop_times": "trip_id STRING, arrival_time STRING, departure_time STRING, "
-    "stop_id STRING, stop_sequence INT",
-    "calendar": "service_id STRING, "
-    + ", ".join(f"{day} INT" for day in WEEKDAYS)
-    + ", start_date STRING, end_date STRING",
-    "calendar_dates": "service_id STRING, date STRING, exception_type INT",
+    "agency": {
+        "agency_name": STRING,
+        "agency_url": STRING,
+        "agency_timezone": STRING,
+        "agency_lang": STRING,
+        "agency_phone": STRING,
+    },
+    "routes": {
+        "route_id": STRING,
+        "route_short_name": STRING,
+        "route_long_name": STRING,
+        "route_type": INT,
+        "route_url": STRING,
+        "route_color": STRING,
+        "route_text_color": STRING,
+    },
+    "trips": {
+        "route_id": STRING,
+        "service_id": STRING,
+        "trip_id": STRING,
+        "trip_headsign": STRING,
+        "direction_id": INT,
+        "shape_id": STRING,
+        "wheelchair_accessible": INT,
+    },
+    "stops": {
+        "stop_id": STRING,
+        "stop_code": STRING,
+        "stop_name": STRING,
+        "stop_lat": DOUBLE,
+        "stop_lon": DOUBLE,
+        "stop_url": STRING,
+        "location_type": INT,
+        "parent_station": STRING,
+        "wheelchair_boarding": INT,
+    },
+    "stop_times": {
+        "trip_id": STRING,
+        "arrival_time": STRING,
+        "departure_time": STRING,
+        "stop_id": STRING,
+        "stop_sequence": INT,
+    },
+    "calendar": {
+        "service_id": STRING,
+        **{day: INT for day in WEEKDAYS},
+        "start_date": STRING,
+        "end_date": STRING,
+    },
+    "calendar_dates": {"service_id": STRING, "date": STRING, "exception_type": INT},
 }
 DATASETS = tuple(FEED)
 OPTIONAL_DATASETS = ("calendar_dates",)
 TEXT_DATASETS = tuple(d for d in DATASETS if d not in OPTIONAL_DATASETS)
 
 
-_TYPES = {
-    "STRING": T.StringType(),
-    "INT": T.IntegerType(),
-    "BIGINT": T.LongType(),
-    "DOUBLE": T.DoubleType(),
-    "TIMESTAMP": T.TimestampType(),
-}
-
-
-def struct(columns: str) -> T.StructType:
-    """``"a STRING, b INT"`` as a schema; needs no running session."""
-    pairs = (column.split() for column in columns.split(", "))
-    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
+def struct(fields: dict[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
 def feed_schema(dataset: str) -> T.StructType:
@@ -60,7 +87,7 @@ def feed_schema(dataset: str) -> T.StructType:
 # Raw contract: every feed column of the six mandatory files must be present.
 RAW_REQUIRED = {d: feed_schema(d).fieldNames() for d in TEXT_DATASETS}
 
-# Identifier columns that must not be NULL, before and after processing.
+# Identifier columns that must not be NULL, before and after processing.
 RAW_IDENTIFIERS = {
     "routes": ["route_id"],
     "trips": ["trip_id", "route_id"],
@@ -77,7 +104,7 @@ PROCESSED_IDENTIFIERS = {
     "trips": ["trip_id", "route_id", "service_id"],
     "stop_times": ["trip_id", "stop_id"],
 }
-# Business key per processed dataset; also the minimal column contract together
+# Business key per processed dataset; also the minimal column contract together
 # with the identifiers.
 BUSINESS_KEYS = {
     "agency": ["agency_name"],
@@ -92,7 +119,7 @@ PROCESSED_REQUIRED = {
     d: list(dict.fromkeys(PROCESSED_IDENTIFIERS[d] + BUSINESS_KEYS[d]))
     for d in BUSINESS_KEYS
 }
-# Identifiers whose absence drops the row during cleaning.
+# Identifiers whose absence drops the row during cleaning.
 ROW_IDENTIFIERS = {
     "routes": ["route_id"],
     "trips": ["trip_id"],
@@ -100,7 +127,7 @@ ROW_IDENTIFIERS = {
     "stop_times": ["trip_id", "stop_id"],
     "calendar": ["service_id"],
 }
-# child dataset, child column, parent dataset
+# Child dataset, child column, parent dataset
 REFERENCES = (
     ("trips", "route_id", "routes"),
     ("stop_times", "trip_id", "trips"),
@@ -196,14 +223,30 @@ STAR_FOREIGN_KEYS = (
     ("fact_stop_time", ["stop_key"], "dim_stop"),
 )
 
-# Arrival messages, and the flat table they end in.
+# Fields of arrival messages, and the flat table they end in.
 ARRIVAL_MESSAGE = struct(
-    "timestamp BIGINT, destination STRING, line STRING, route_id STRING, stop STRING, "
-    "time_in_minutes BIGINT, time_in_seconds BIGINT, text_ca STRING"
+    {
+        "timestamp": BIGINT,
+        "destination": STRING,
+        "line": STRING,
+        "route_id": STRING,
+        "stop": STRING,
+        "time_in_minutes": BIGINT,
+        "time_in_seconds": BIGINT,
+        "text_ca": STRING,
+    }
 )
 ARRIVALS = struct(
-    "event_timestamp TIMESTAMP, destination STRING, line STRING, route_id STRING, "
-    "stop_id STRING, arrival_minutes BIGINT, arrival_seconds BIGINT, arrival_text STRING"
+    {
+        "event_timestamp": TIMESTAMP,
+        "destination": STRING,
+        "line": STRING,
+        "route_id": STRING,
+        "stop_id": STRING,
+        "arrival_minutes": BIGINT,
+        "arrival_seconds": BIGINT,
+        "arrival_text": STRING,
+    }
 )
 
 # Printed labels and map colours.

@@ -23,6 +23,7 @@ REQUIRED = tuple(f for f in FIELDS if f not in OPTIONAL)
 TEXTS = ("line", "route_id", "stop")
 DURATIONS = ("time_in_minutes", "time_in_seconds")
 
+MESSAGE = "_message"
 CHECKS = ("error_code", "error_field", "error_message", "wait_seconds")
 
 # Message field <- feed field.
@@ -201,8 +202,19 @@ def error_messages(errors: DataFrame) -> DataFrame:
     return errors.select(F.to_json(record, {"ignoreNullFields": "false"}).alias("value"))
 
 
+def with_message(checked: DataFrame) -> DataFrame:
+    """Checked messages with their fields in one more column, for ``parse_messages``.
+
+    A frame that is kept this way feeds several outputs and parses each message once.
+    """
+    parsed = F.from_json(F.col("value").cast("string"), schemas.ARRIVAL_MESSAGE)
+    return checked.withColumn(MESSAGE, parsed)
+
+
 def parse_messages(messages: DataFrame) -> DataFrame:
     """Message fields as columns; malformed text yields NULLs, never an error."""
+    if MESSAGE in messages.columns:
+        return messages.select(f"{MESSAGE}.*")
     parsed = F.from_json(F.col("value").cast("string"), schemas.ARRIVAL_MESSAGE)
     return computed_once(messages.select("value"), "m", parsed).select("m.*")
 

@@ -146,10 +146,10 @@ def fan_out(
     writers: Mapping[str, Writer],
     route: Callable[[DataFrame], Mapping[str, DataFrame]] = outputs,
 ) -> Writer:
-    """A micro-batch handler: messages are checked once and feed all outputs."""
+    """A micro-batch handler: messages are checked and parsed once and feed all outputs."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        checked = events.check_messages(batch.select("value")).persist()
+        checked = events.with_message(events.check_messages(batch.select("value"))).persist()
         try:
             for name, df in route(checked).items():
                 if name in writers:
