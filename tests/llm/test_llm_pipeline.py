@@ -13,12 +13,11 @@ import corpus_pipeline
 from tramline.llm import quality
 
 from .test_llm_decontamination import shingles
-from .test_llm_quality import PLAIN, brute_counts, brute_histograms, js
+from .test_llm_quality import brute_counts, brute_histograms, js
 from .test_llm_secrets import ASSIGN
 from .test_llm_simhash import brute_components, brute_fingerprint
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, fingerprint string, _kept string"
-SENTENCES = [s.strip() + "." for s in PLAIN.split(".") if s.strip()]
 TOPICS = "river road school market harbour station library garden museum bakery theatre forest".split()
 ITEM = "The harbour master of the old port kept a small book of all the ships that had come in since the war."
 
@@ -28,7 +27,8 @@ def article(k, n=12):
     for i in range(n):
         topic = TOPICS[(k * 7 + i * 5) % len(TOPICS)]
         other = TOPICS[(k * 3 + i * 11 + 1) % len(TOPICS)]
-        out.append(f"In the {topic} {k} of {other} {i * k + i} there was a plan to be read by {k + i} people.")
+        third = TOPICS[(k * 5 + i * 7) % len(TOPICS)]
+        out.append(f"In the {topic} {k} of {other} {i * k + i} there was a {third} plan to be read by {k + i} people.")
     return " ".join(out)
 
 
