@@ -190,7 +190,12 @@ def find_secrets(
             ).alias("found")
         )
     )
-    none = F.expr("CAST(array() AS array<struct<lo: int, rank: int, kind: string, hi: int>>)")
+    home = scratch_dir(spark, "findings")
+    # Written: a join with a table may split the paths of one content, one with an aggregate may not.
+    spans_of.write.parquet(home)
+    found = "array<struct<lo: int, rank: int, kind: string, hi: int>>"
+    spans_of = spark.read.schema(f"blob string, found {found}").parquet(home)
+    none = F.expr(f"CAST(array() AS {found})")
     return paths.join(spans_of, "blob", "left").select("doc_id", "blob", F.coalesce("found", none).alias("found"))
 
 
