@@ -45,8 +45,8 @@ SHARD_IDS = 2_000_000
 MAX_SYMBOLS = 65_535
 BORDER = 65_535  # stands between documents while pairs are counted
 LEAST = 6  # a rule costs eight bytes and saves two each time
-ROUND_RULES = 4_096
-ROUND_GAIN = 0.01
+ROUND_RULES = 8_192
+ROUND_GAIN = 0.02
 SLOTS = 20
 
 INDEX_SCHEMA = "part long, shard string, n_ids long"
@@ -131,25 +131,29 @@ def re_pair(symbols: np.ndarray, n_symbols: int) -> tuple[np.ndarray, list[tuple
     Of pairs that overlap in the sequence the left one is replaced.
     """
     symbols, rules = symbols.astype(np.uint32), []
-    shift = np.uint64(64 - SLOTS)
+
+    def slot(keys: np.ndarray) -> np.ndarray:
+        return keys * np.uint32(0x9E3779B1) >> np.uint32(32 - SLOTS)
+
     while n_symbols < MAX_SYMBOLS and len(symbols) > 1:
         keys = symbols[:-1] << np.uint32(16) | symbols[1:]
-        usable = (symbols[:-1] != BORDER) & (symbols[1:] != BORDER)
-        ordered = np.sort(keys[usable])
-        first = np.flatnonzero(np.diff(ordered, prepend=~ordered[:1])) if len(ordered) else np.zeros(0, np.int64)
+        ordered = np.sort(keys)
+        first = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
+        first = np.concatenate([[0], first])
         times = np.diff(np.append(first, len(ordered)))
-        often = times >= LEAST
+        often = np.flatnonzero(times >= LEAST)
         pairs, times = ordered[first[often]], times[often]
+        inside = (pairs >> np.uint32(16) != BORDER) & (pairs & np.uint32(0xFFFF) != BORDER)
+        pairs, times = pairs[inside], times[inside]
         pairs = pairs[np.lexsort((pairs, -times))][: min(ROUND_RULES, MAX_SYMBOLS - n_symbols)]
         if not len(pairs):
             break
         # A table by hash finds the rule of a pair; of pairs that share a slot the most frequent goes first.
-        slot = (pairs.astype(np.uint64) * np.uint64(arrays.WORD_BASE)) >> shift
-        pairs = pairs[np.sort(np.unique(slot, return_index=True)[1])]
-        table = np.full(1 << SLOTS, len(pairs), np.int64)
-        table[(pairs.astype(np.uint64) * np.uint64(arrays.WORD_BASE)) >> shift] = np.arange(len(pairs))
-        rule = table[(keys.astype(np.uint64) * np.uint64(arrays.WORD_BASE)) >> shift]
-        hit = usable & (np.append(pairs, 0)[rule] == keys) & (rule < len(pairs))
+        pairs = pairs[np.sort(np.unique(slot(pairs), return_index=True)[1])]
+        table = np.full(1 << SLOTS, len(pairs), np.int32)
+        table[slot(pairs)] = np.arange(len(pairs))
+        rule = table[slot(keys)]
+        hit = np.append(pairs, np.uint32(0xFFFFFFFF))[rule] == keys
         at = np.flatnonzero(hit)
         run = np.flatnonzero(np.diff(at, prepend=-2) > 1)
         even = (np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))) % 2 == 0
@@ -167,9 +171,12 @@ def re_pair(symbols: np.ndarray, n_symbols: int) -> tuple[np.ndarray, list[tuple
 
 def compress(ids: np.ndarray, offsets: np.ndarray, doc_ids: np.ndarray, nulls: np.ndarray) -> Shard:
     """A shard of the documents ids[offsets[i]:offsets[i+1]]; none is empty."""
-    terminals, local = np.unique(ids, return_inverse=True)
+    terminals = np.flatnonzero(np.bincount(ids))
     if len(terminals) > MAX_SYMBOLS:
         raise ValueError("a shard of more distinct ids than symbols")
+    local = np.zeros(int(terminals[-1]) + 1, np.int64)
+    local[terminals] = np.arange(len(terminals))
+    local = local[ids]
     apart = np.full(len(ids) + len(offsets) - 2, BORDER, np.int64)
     apart[np.arange(len(ids)) + arrays.row_of(offsets)] = local
     symbols, rules = re_pair(apart, len(terminals))
