@@ -1,8 +1,8 @@
 """Token ids in binary shards, compressed by a grammar, readable at random.
 
 Method (Re-Pair): in each shard, pairs of neighbouring symbols that occur often
-are replaced by new symbols, in rounds, until pairs are rare or symbols run
-out. A rule holds its two symbols and how many ids it expands to. Pairs never
+are replaced by new symbols, in rounds of at most ``ROUND_RULES`` rules, until no
+pair occurs ``LEAST`` times (overlaps counted) or symbols run out. A rule holds its two symbols and how many ids it expands to. Pairs never
 cross documents, so each document is a run of symbols of its own, and sums of
 expansion lengths lead to any id without decoding what stands before it.
 
@@ -45,8 +45,7 @@ SHARD_IDS = 2_000_000
 MAX_SYMBOLS = 65_535
 BORDER = 65_535  # stands between documents while pairs are counted
 LEAST = 6  # a rule costs eight bytes and saves two each time
-ROUND_RULES = 8_192
-ROUND_GAIN = 0.02
+ROUND_RULES = 4_096
 SLOTS = 20
 
 INDEX_SCHEMA = "part long, shard string, n_ids long"
@@ -164,8 +163,6 @@ def re_pair(symbols: np.ndarray, n_symbols: int) -> tuple[np.ndarray, list[tuple
         symbols = symbols[keep]
         rules += [(int(p) >> 16, int(p) & 0xFFFF) for p in pairs.tolist()]
         n_symbols += len(pairs)
-        if len(at) < ROUND_GAIN * len(symbols):
-            break
     return symbols, rules
 
 
