@@ -8,10 +8,10 @@ document. An item's sketch is that many of its least hashes, so a document that
 contains the item meets its sketch for certain: candidates are never missed.
 
 Items are partitioned by size, a class for each power of two. A class has a
-threshold, the greatest hash in its sketches; a document's own MinHash sketch
-is its hashes up to the greatest threshold of all classes, and a hash beyond a
-class's threshold meets no item of that class. Sketches meet in an equality
-join, and the candidates are verified by the shingles themselves.
+threshold, the greatest hash in its sketches; a document's MinHash sketch for a
+class is its hashes up to that threshold, so a short item does not lengthen the
+sketches for others. Sketches meet in an equality join on class and hash, and the
+candidates are verified by the shingles themselves.
 
 Only DataFrame expressions run. The index of sketches is a written table, so
 Spark broadcasts it if its size is below the threshold and shuffles both sides
@@ -91,6 +91,14 @@ def _index(items: DataFrame, size: int, share: float) -> DataFrame:
     ).where("h IS NOT NULL").distinct()
 
 
+def dealt(hashes: DataFrame, classes: list[tuple[int, int]]) -> DataFrame:
+    """``hashes(doc_id, h)`` with a row for each size class whose threshold ``h`` does not exceed."""
+    kind = "array<struct<size_class: int, threshold: bigint>>"
+    known = F.array(*(F.struct(F.lit(c), F.lit(most).cast("long")) for c, most in sorted(classes))).cast(kind)
+    own = F.explode(F.filter(known, lambda c: c.threshold >= F.col("h"))).alias("own")
+    return hashes.select("doc_id", "h", own).select("doc_id", "h", "own.size_class")
+
+
 def contained_items(docs: DataFrame, items: DataFrame, size: int = SIZE, share: float = SHARE) -> DataFrame:
     """``doc_id, item_id, n_shingles, n_shared, containment`` of all items in ``docs(doc_id, text)``."""
     spark = docs.sparkSession
@@ -107,8 +115,9 @@ def contained_items(docs: DataFrame, items: DataFrame, size: int = SIZE, share:
     found = texts.select("doc_id", word_numbers(words(F.col("text"))).alias("numbers"))
     found = found.select("doc_id", hashes(F.col("numbers"), size).alias("h"))
     found = found.select("doc_id", F.explode_outer("h").alias("h")).where(F.col("h") <= F.lit(most).cast("long"))
+    found = dealt(found, [(c.size_class, c.threshold) for c in classes])
     (
-        found.join(index.select("h", "item_id"), "h")
+        found.join(index.select("size_class", "h", "item_id"), ["size_class", "h"])
         .select("doc_id", "item_id")
         .distinct()
         .write.parquet(marks)
