@@ -6,7 +6,10 @@ from checks.compare import differences, oracle_connection
 from tramline.llm.queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-IN_SQL = {"op1_substring_dedup", "op3_decontamination", "op7_secret_ledger", "op8_seekable_warc"}
+IN_SQL = {
+    "op1_substring_dedup", "op3_decontamination", "op7_secret_ledger", "op8_seekable_warc",
+    "op11_audit_repair", "op12_prefix_bands", "op13_token_assembly",
+}
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +23,7 @@ def test_query_matches_sql(spark, con, name):
 
 
 def test_every_operator_is_registered_once():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) == IN_SQL
 
 
