@@ -87,7 +87,7 @@ def test_reports_and_repaired_rows(spark):
         1: (2, 0, 0, 0, 0, 0, 0, "KK"),
         2: (3, 1, 0, 0, 0, 1, 2, "DKK"),
         3: (2, 0, 2, 0, 0, 1, 4, "DD"),
-        4: (3, 0, 0, 0, 1, 0, 5, "KKK"),
+        4: (3, 0, 0, 0, 1, 0, 3, "RDK"),
         None: (2, 0, 0, 0, 0, 0, 0, "KK"),
         5: (3, 0, 0, 1, 0, 1, 2, "KDK"),
     }
