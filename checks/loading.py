@@ -13,7 +13,7 @@ from tramline.operators import clean, dimensional, quality
 from tramline.plans import warehouse
 from tramline.session import scratch_dir
 from tramline.sources import feed as feeds
-from tramline.sources import listing, tables
+from tramline.sources import listing, tables, versions
 
 union = profiling.union
 NEWEST_RAW = f"DATE '{stored.NEWEST_RAW}'"
@@ -401,6 +401,51 @@ add(
 )
 
 
+def _read_during_load(spark, sf):
+    """Rows per table, and facts without their dimension rows, for a reader from before a load and one from after.
+
+    Both are asked when the load is done; a load that ends before its commit stands between them.
+    """
+    path = scratch_dir(spark, "versions")
+    data = views.history(spark, sf)
+    warehouse.load_star_version(spark, data, path, ALL)
+    before = versions.open_version(spark, path)
+    orphans = data["trips"].withColumn("route_id", F.concat(F.lit("no "), "route_id"))
+    versions.stage(spark, path, "fact_trip", before["fact_trip"].limit(0))
+    warehouse.load_star_version(spark, {**data, "trips": orphans}, path)
+    parts = []
+    for reader, star in (("before", before), ("after", versions.open_version(spark, path))):
+        lost = star["fact_trip"].join(star["dim_route"], "route_key", "left_anti")
+        lost = lost.select("trip_key").unionByName(
+            star["fact_stop_time"].join(star["fact_trip"], "trip_key", "left_anti").select("trip_key")
+        )
+        counted = {**star, "facts without dimension": lost}
+        parts += [
+            df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(reader).alias("reader"), F.lit(name).alias("name"), "rows")
+            for name, df in counted.items()
+        ]
+    return union_all(parts)
+
+
+OLD_FACTS = "WHERE snapshot_date <> (SELECT d FROM newest)"
+add(
+    "w07_read_during_load",
+    _read_during_load,
+    union(
+        f"SELECT '{reader}' AS reader, '{name}' AS name, count(*) AS rows FROM {origin} {where}"
+        for reader, facts in (("before", ""), ("after", OLD_FACTS))
+        for name, origin, where in (
+            ("dim_route", "g_routes", ""),
+            ("dim_stop", "g_stops", ""),
+            ("dim_service", "s_service", ""),
+            ("fact_trip", "s_trip", facts),
+            ("fact_stop_time", "s_call", facts),
+            ("facts without dimension", "g_routes", "WHERE false"),
+        )
+    ),
+)
+
+
 def _key_totals(spark, sf):
     star = stored.star(spark, sf)
     return union_all(

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tramline.functions.snapshots import ALL, Snapshot, Tables, at_snapshot, or_newest
 from tramline.operators import dimensional, quality
+from tramline.sources import versions
 from tramline.sources.listing import file_system, newest_stored_snapshot
 from tramline.sources.tables import (
     read_table,
@@ -67,26 +68,57 @@ def load_star(
     table, which is written before the swap, so no key is given out twice.
     """
     root = root.rstrip("/")
+    chosen, scoped = _scope(tables, snapshot, audit)
+    above = highest_keys(spark, root)
+    staging = f"{root}/.load-{uuid.uuid4().hex}"
+
+    def stage(name: str, rows: DataFrame) -> DataFrame:
+        stage_snapshots(rows, f"{staging}/{name}", chosen)
+        return read_table(spark, f"{staging}/{name}")
+
+    _stage_star(scoped, chosen, above, lambda name: read_table_or_none(spark, f"{root}/{name}"), stage)
+    control = spark.createDataFrame(list(above.items()), CONTROL_SCHEMA)
+    control.coalesce(1).write.mode("append").json(f"{root}/control")
+    for name in STAR:
+        swap_snapshots(spark, f"{staging}/{name}", f"{root}/{name}", chosen)
+    system, target = file_system(spark, staging)
+    system.delete(target, True)
+    return load_report(spark, root, chosen)
+
+
+def _scope(tables: dict[str, DataFrame], snapshot: Snapshot, audit: bool) -> tuple[Snapshot, dict[str, DataFrame]]:
+    """The snapshot to load, and the tables at it, their keys checked."""
     last = or_newest(None, tables, "trips") or newest(tables["trips"])
-    backfill = isinstance(snapshot, str) and snapshot == ALL
     chosen = snapshot if snapshot is not None else last
     scoped = {name: at_snapshot(df, chosen) for name, df in tables.items()}
     if audit:
         quality.gate(quality.key_audit({n: scoped[n] for n in AUDITED}))
-    above = highest_keys(spark, root)
-    staging = f"{root}/.load-{uuid.uuid4().hex}"
+    return chosen, scoped
+
+
+def _stage_star(
+    scoped: dict[str, DataFrame],
+    chosen: Snapshot,
+    above: dict[str, int],
+    stored: Callable[[str], DataFrame | None],
+    write: Callable[[str, DataFrame], DataFrame],
+) -> None:
+    """Write the five tables of a load by ``write``, which returns them as written.
+
+    ``above`` has the highest key given out per table, before and then after.
+    """
+    backfill = isinstance(chosen, str) and chosen == ALL
 
     def stage(name: str, rows: DataFrame) -> DataFrame:
         key, watch = dimensional.KEYS[name][0], Observation()
-        watched = rows.observe(watch, F.max(key).alias("highest"))
         # Keys are numbered after the rows are dealt out, so this write must not deal them again.
-        stage_snapshots(watched, f"{staging}/{name}", chosen)
+        out = write(name, rows.observe(watch, F.max(key).alias("highest")))
         above[name] = max(above[name], watch.get["highest"] or 0)
-        return read_table(spark, f"{staging}/{name}")
+        return out
 
     staged = {}
     for name, rows in dimensional.DIMENSION_ROWS.items():
-        before = read_table_or_none(spark, f"{root}/{name}")
+        before = stored(name)
         scope = None if before is None else at_snapshot(before, chosen)
         key, natural = dimensional.KEYS[name]
         merged = dimensional.upsert(scope, rows(scoped), key, natural, above[name], backfill)
@@ -96,13 +128,36 @@ def load_star(
     calls = dimensional.stop_time_facts(scoped["stop_times"], staged["fact_trip"], staged["dim_stop"])
     stage("fact_stop_time", _numbered(calls, "fact_stop_time", above, backfill))
 
-    control = spark.createDataFrame(list(above.items()), CONTROL_SCHEMA)
-    control.coalesce(1).write.mode("append").json(f"{root}/control")
-    for name in STAR:
-        swap_snapshots(spark, f"{staging}/{name}", f"{root}/{name}", chosen)
-    system, target = file_system(spark, staging)
-    system.delete(target, True)
-    return load_report(spark, root, chosen)
+
+def load_star_version(
+    spark: SparkSession,
+    tables: dict[str, DataFrame],
+    root: str,
+    snapshot: Snapshot = None,
+    audit: bool = True,
+) -> DataFrame:
+    """``load_star`` as one commit of all five tables; ``versions.open_version`` reads it.
+
+    Readers see the star before the load or after it, at every moment and wherever
+    the load ends. The highest keys are part of the version. The same ``root`` must
+    not be loaded by ``load_star`` too.
+    """
+    root = root.rstrip("/")
+    chosen, scoped = _scope(tables, snapshot, audit)
+    before, staged = versions.find(spark, root), {}
+    above = dict.fromkeys(STAR, 0) | before.keys
+
+    def stored(name: str) -> DataFrame | None:
+        return versions.read(spark, root, before, name) if name in before.tables else None
+
+    def stage(name: str, rows: DataFrame) -> DataFrame:
+        staged[name] = versions.stage(spark, root, name, rows)
+        return versions.read(spark, root, versions.Version(tables={name: staged[name]}), name)
+
+    _stage_star(scoped, chosen, above, stored, stage)
+    version = versions.publish(spark, root, before, staged, chosen, above)
+    facts = {n: at_snapshot(versions.read(spark, root, version, n), chosen) for n in ("fact_trip", "fact_stop_time")}
+    return quality.row_counts(facts)
 
 
 def _numbered(rows: DataFrame, name: str, above: dict[str, int], backfill: bool) -> DataFrame:
