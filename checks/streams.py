@@ -12,7 +12,7 @@ from tramline.functions.aggregates import union_all
 from tramline.plans import adhoc, realtime
 from tramline.session import scratch_dir
 from tramline.sources import tables
-from tramline.streaming import events, jobs
+from tramline.streaming import compaction, events, jobs
 
 
 def _checked(spark, sf):
@@ -284,6 +284,31 @@ add(
     f"(SELECT CASE WHEN arrival_seconds > 600 THEN 0 ELSE 1 END AS b FROM ({ARRIVALS})) "
     "GROUP BY 1",
 )
+def _compacted(spark, sf):
+    """Arrivals of two batches, merged; one is replayed, and rows come late in a third."""
+    path, root = scratch_dir(spark, "arrivals"), scratch_dir(spark, "closed")
+    write = jobs.arrivals_writer(path)
+    df = events.arrivals(_valid(spark, sf))
+    batches = (
+        df.where("arrival_seconds > 600"),
+        df.where("arrival_seconds BETWEEN 300 AND 600"),
+        df.where("arrival_seconds < 300"),
+    )
+    for batch in (0, 1):
+        write(batches[batch], batch)
+    compaction.compact(spark, path, root, "9999-12-31")
+    write(batches[1], 1)
+    compaction.sweep(spark, path, root)
+    write(batches[0], 0)
+    write(batches[2], 2)
+    return compaction.read_arrivals(spark, path, root)
+
+
+add(
+    "k04_compacted_arrivals",
+    lambda spark, sf: _no_zone(_compacted(spark, sf).drop("created_at", "event_date", "query_id", "batch_id")),
+    ARRIVALS,
+)
 add(
     "s06_text_source",
     lambda spark, sf: _stored("cycles")(spark, sf).select(

@@ -50,15 +50,16 @@ class Version:
     number: int = 0
     tables: dict[str, Table] = field(default_factory=dict)
     keys: dict[str, int] = field(default_factory=dict)  # table: highest surrogate key given out
-
+    notes: dict = field(default_factory=dict)  # what else a commit records, by table
     def text(self) -> str:
         tables = {n: {"schema": t.schema, "loads": t.loads} for n, t in self.tables.items()}
-        return json.dumps({"tables": tables, "keys": self.keys})
+        return json.dumps({"tables": tables, "keys": self.keys, "notes": self.notes})
 
     @staticmethod
     def parse(number: int, text: str) -> Version:
         held = json.loads(text)
-        return Version(number, {n: Table(**t) for n, t in held["tables"].items()}, held["keys"])
+        tables = {n: Table(**t) for n, t in held["tables"].items()}
+        return Version(number, tables, held["keys"], held.get("notes", {}))
 
 
 def _manifest(root: str, number: int) -> str:
@@ -133,6 +134,7 @@ def publish(
     staged: dict[str, Table],
     snapshot: Snapshot = None,
     keys: dict[str, int] | None = None,
+    notes: dict | None = None,
 ) -> Version:
     """Make staged tables the next version after ``before``.
 
@@ -146,7 +148,7 @@ def publish(
         old = tables[name].loads if name in tables and not whole else {}
         kept = {d: load for d, load in old.items() if snapshot is None or d != str(snapshot)}
         tables[name] = Table(table.schema, kept | table.loads)
-    version = Version(before.number + 1, tables, before.keys | (keys or {}))
+    version = Version(before.number + 1, tables, before.keys | (keys or {}), before.notes | (notes or {}))
     if max(numbers(spark, root), default=0) != before.number:
         raise VersionConflict(f"{root} has a version after {before.number}")
     _rename_new(spark, root, version)
