@@ -12,7 +12,7 @@ from tramline.functions.aggregates import union_all
 from tramline.plans import adhoc, realtime
 from tramline.session import scratch_dir
 from tramline.sources import tables
-from tramline.streaming import compaction, events, jobs
+from tramline.streaming import compaction, events, jobs, windows
 
 
 def _checked(spark, sf):
@@ -309,6 +309,49 @@ add(
     lambda spark, sf: _no_zone(_compacted(spark, sf).drop("created_at", "event_date", "query_id", "batch_id")),
     ARRIVALS,
 )
+def _streamed(spark, parts, build, mode):
+    """Parts of a table as batches of a stream that is started anew for each."""
+    path = scratch_dir(spark, "windows")
+    for part in parts:
+        part.write.mode("append").parquet(f"{path}/in")
+        source = spark.readStream.schema(part.schema).parquet(f"{path}/in")
+        windows.start(build(source), f"{path}/out", f"{path}/checkpoint", mode, once=True).awaitTermination()
+    return f"{path}/out"
+
+
+def _stream_windows(spark, sf):
+    """Arrivals in three batches by time, so that minutes go on from batch to batch."""
+    df = events.arrivals(_valid(spark, sf))
+    day = F.unix_seconds(F.col("event_timestamp").cast("timestamp"))
+    low, high = df.select(day.cast("double").alias("t")).approxQuantile("t", [1 / 3, 2 / 3], 0.01)
+    parts = (df.where(day <= low), df.where((day > low) & (day <= high)), df.where(day > high))
+    out = _streamed(spark, parts, windows.minutes, "update")
+    return _no_zone(windows.minute_counts(spark, out), "minuto")
+
+
+add(
+    "r02_stream_windows",
+    _stream_windows,
+    "SELECT date_trunc('minute', event_timestamp) AS minuto, line, count(*) AS total_llegadas FROM ok "
+    "WHERE event_timestamp IS NOT NULL GROUP BY 1, 2",
+    ok=ARRIVALS,
+)
+
+
+def _polled_again(spark, sf):
+    """All arrivals fed three times, with a restart before each."""
+    df = events.arrivals(_valid(spark, sf))
+    out = _streamed(spark, (df, df, df), windows.distinct_predictions, "append")
+    return _no_zone(spark.read.parquet(out).select(*windows.PREDICTION), "predicted")
+
+
+add(
+    "e07_stream_distinct_predictions",
+    _polled_again,
+    "SELECT DISTINCT line, route_id, stop_id, event_timestamp + to_seconds(arrival_seconds) AS predicted FROM ok "
+    "WHERE event_timestamp IS NOT NULL",
+    ok=ARRIVALS,
+)
 add(
     "s06_text_source",
     lambda spark, sf: _stored("cycles")(spark, sf).select(
