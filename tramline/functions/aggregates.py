@@ -39,13 +39,12 @@ def missing_keys(child: DataFrame, parent: DataFrame, keys: Sequence[str]) -> Da
     """Distinct child keys without a parent; a NULL key never has one.
 
     Both sides shrink to distinct keys before the join, so a key that fills a
-    third of the child costs one row.
+    third of the child costs one row. They meet where that left them, by merging:
+    as a broadcast the parent's keys would pass through the driver whenever their
+    size is underestimated.
     """
-    return (
-        child.select(*keys)
-        .distinct()
-        .join(parent.select(*keys).distinct(), list(keys), "left_anti")
-    )
+    parents = parent.select(*keys).distinct().hint("merge")
+    return child.select(*keys).distinct().join(parents, list(keys), "left_anti")
 
 
 def orphan_rows(
