@@ -235,13 +235,11 @@ def newest(spark: SparkSession, sf_dir: str) -> Lazy:
 
 
 def _stop_times(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
-    lines = source(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber"
-    )
-    dated = orders.select("o_orderkey", "o_orderdate")
-    return lines.join(dated, lines["l_orderkey"] == dated["o_orderkey"]).selectExpr(
-        *STOP_TIMES
-    )
+    """Joined by the id that the calls then go by, so that they lie by ``trip_id``."""
+    trip_id, *others = STOP_TIMES
+    lines = source(spark, sf_dir, "lineitem").selectExpr(trip_id, "l_partkey", "l_linenumber")
+    dated = orders.selectExpr(f"{as_text('o_orderkey')} AS trip_id", "o_orderdate")
+    return lines.join(dated.hint("merge"), "trip_id").selectExpr("trip_id", *others)
 
 
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 from checks import views
+from tramline.functions import snapshots
 from tramline.functions.aggregates import missing_keys, surplus_rows
 from tramline.functions.snapshots import ALL
 from tramline.operators import dimensional
@@ -129,3 +130,42 @@ def test_missing_keys_never_pass_through_the_driver(spark):
     plan = physical_plan(missing_keys(child, parent, ["k", "d"]))
     assert "Broadcast" not in plan and "SortMergeJoin" in plan
     assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_calls_by_trip_meet_their_trips_where_they_lie(spark):
+    """Calls that lie by trip are not shuffled again for their trips, and the date still decides."""
+    dates = "explode(array(DATE'2026-01-01', DATE'2026-01-02')) AS snapshot_date"
+    calls = spark.range(60).selectExpr(
+        "string(id % 10) AS trip_id", "string(id % 7) AS stop_id", "'a' AS arrival_time", "'b' AS departure_time",
+        "int(id) AS stop_sequence", "date_add(DATE'2026-01-01', int(id % 3)) AS snapshot_date",
+    ).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "trip_id")
+    trips = spark.range(9).selectExpr("string(id) AS trip_id", dates).selectExpr(
+        "*", "100 * day(snapshot_date) + int(trip_id) AS trip_key"
+    )
+    stops = spark.range(6).selectExpr("string(id) AS stop_id", dates).selectExpr(
+        "*", "1000 * day(snapshot_date) + int(stop_id) AS stop_key"
+    )
+    facts = dimensional.stop_time_facts(calls, trips, stops, by_trip=True)
+    want = [
+        (100 * (i % 3 + 1) + i % 10, 1000 * (i % 3 + 1) + i % 7, i) for i in range(60) if i % 3 < 2 and i % 10 < 9 and i % 7 < 6
+    ]
+    assert sorted((r.trip_key, r.stop_key, r.stop_sequence) for r in facts.collect()) == sorted(want)
+    by_stop_first = dimensional.stop_time_facts(calls, trips, stops).collect()
+    assert sorted((r.trip_key, r.stop_key, r.stop_sequence) for r in by_stop_first) == sorted(want)
+    plan = physical_plan(dimensional.stop_time_facts(calls, trips, stops, by_trip=True))
+    plan = plan.split("Initial Plan")[-1]
+    assert "Broadcast" not in plan and len(re.findall(r"(?:Exchange )?hashpartitioning\(trip_id#\d+, ", plan)) == 2
+
+
+def test_few_snapshots_are_written_without_one_more_shuffle(spark, monkeypatch, tmp_path):
+    """A load of the whole history gathers rows by snapshot only if there are many."""
+    asked = []
+    gathered = dimensional.gathered
+    monkeypatch.setattr(dimensional, "gathered", lambda df, balance=True: asked.append(balance) or gathered(df, balance))
+    data = views.history(spark, SF)
+    few = warehouse.load_star(spark, data, str(tmp_path / "few"), ALL).collect()
+    assert asked and not any(asked)
+    asked.clear()
+    monkeypatch.setattr(snapshots, "FEW", 2)
+    assert warehouse.load_star(spark, data, str(tmp_path / "many"), ALL).collect() == few
+    assert asked and all(asked)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ALL = "all"
+FEW = 32  # snapshots of which each task may write a file of its own
 Snapshot = dt.date | str | Column | None
 
 
@@ -37,6 +38,11 @@ def latest_snapshot(df: DataFrame) -> Column:
     return df.select(F.max("snapshot_date")).scalar()
 
 
+def many_snapshots(df: DataFrame) -> bool:
+    """Whether a frame has so many snapshots that its rows are to be gathered by them before they are written."""
+    return df.select("snapshot_date").distinct().limit(FEW + 1).count() > FEW
+
+
 def at_snapshot(
     df: DataFrame, snapshot: Snapshot = None, of: DataFrame | None = None
 ) -> DataFrame:

@@ -32,7 +32,10 @@ def next_key(above: int) -> Column:
 
 
 def gathered(df: DataFrame, balance: bool = True) -> DataFrame:
-    """Rows of one snapshot side by side, large snapshots split over several tasks."""
+    """Rows of one snapshot side by side, large snapshots split over several tasks.
+
+    A shuffle of all rows, for frames of many snapshots only.
+    """
     return df.hint("rebalance", "snapshot_date") if balance else df
 
 
@@ -106,8 +109,12 @@ def upsert(
 
 
 def trip_facts(trips: DataFrame, dim_route: DataFrame, dim_service: DataFrame) -> DataFrame:
-    """Trips with the keys of their route and service; trips lacking either vanish."""
-    routes = dim_route.select("route_id", "snapshot_date", "route_key")
+    """Trips with the keys of their route and service; trips lacking either vanish.
+
+    Routes, like trips and stops below, grow with the feed: they are merged at every
+    size, so the driver never holds one of them as a broadcast.
+    """
+    routes = dim_route.select("route_id", "snapshot_date", "route_key").hint("merge")
     services = dim_service.select("service_id", "snapshot_date", "service_key")
     return (
         trips.join(services, ["service_id", "snapshot_date"])
@@ -126,19 +133,28 @@ def trip_facts(trips: DataFrame, dim_route: DataFrame, dim_service: DataFrame) -
 
 
 def stop_time_facts(
-    stop_times: DataFrame, fact_trip: DataFrame, dim_stop: DataFrame
+    stop_times: DataFrame, fact_trip: DataFrame, dim_stop: DataFrame, by_trip: bool = False
 ) -> DataFrame:
-    trips = fact_trip.select("trip_id", "snapshot_date", "trip_key")
-    stops = dim_stop.select("stop_id", "snapshot_date", "stop_key")
-    return (
-        stop_times.join(stops, ["stop_id", "snapshot_date"])
-        .join(trips, ["trip_id", "snapshot_date"])
-        .select(
-            "trip_key",
-            "stop_key",
-            "arrival_time",
-            "departure_time",
-            "stop_sequence",
-            "snapshot_date",
-        )
+    """Calls with the keys of their trip and stop; calls lacking either vanish.
+
+    ``by_trip`` is for calls that lie by ``trip_id``: trips come first, joined by id,
+    and the date is compared behind that join instead of being a part of its key,
+    so the calls stay where they are until they meet their stops.
+    """
+    trips = fact_trip.select("trip_id", "snapshot_date", "trip_key").hint("merge")
+    stops = dim_stop.select("stop_id", "snapshot_date", "stop_key").hint("merge")
+    if by_trip:
+        trips = trips.withColumnRenamed("snapshot_date", "_of")
+        same_day = F.datediff("snapshot_date", "_of") == 0
+        calls = stop_times.join(trips, (stop_times["trip_id"] == trips["trip_id"]) & same_day)
+        calls = calls.drop(trips["trip_id"]).join(stops, ["stop_id", "snapshot_date"])
+    else:
+        calls = stop_times.join(stops, ["stop_id", "snapshot_date"]).join(trips, ["trip_id", "snapshot_date"])
+    return calls.select(
+        "trip_key",
+        "stop_key",
+        "arrival_time",
+        "departure_time",
+        "stop_sequence",
+        "snapshot_date",
     )

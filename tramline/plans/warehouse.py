@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tramline.functions.snapshots import ALL, Snapshot, Tables, at_snapshot, or_newest
+from tramline.functions.snapshots import ALL, Snapshot, Tables, at_snapshot, many_snapshots, or_newest
 from tramline.operators import dimensional, quality
 from tramline.sources import versions
 from tramline.sources.listing import file_system, newest_stored_snapshot
@@ -107,7 +107,8 @@ def _stage_star(
 
     ``above`` has the highest key given out per table, before and then after.
     """
-    backfill = isinstance(chosen, str) and chosen == ALL
+    # The rows of few snapshots are written where the joins leave them, without one more shuffle.
+    backfill = isinstance(chosen, str) and chosen == ALL and many_snapshots(scoped["trips"])
 
     def stage(name: str, rows: DataFrame) -> DataFrame:
         key, watch = dimensional.KEYS[name][0], Observation()
@@ -125,7 +126,7 @@ def _stage_star(
         staged[name] = stage(name, merged)
     trips = dimensional.trip_facts(scoped["trips"], staged["dim_route"], staged["dim_service"])
     staged["fact_trip"] = stage("fact_trip", _numbered(trips, "fact_trip", above, backfill))
-    calls = dimensional.stop_time_facts(scoped["stop_times"], staged["fact_trip"], staged["dim_stop"])
+    calls = dimensional.stop_time_facts(scoped["stop_times"], staged["fact_trip"], staged["dim_stop"], by_trip=True)
     stage("fact_stop_time", _numbered(calls, "fact_stop_time", above, backfill))
 
 
