@@ -10,6 +10,9 @@ before the dimension is joined, which folds hot keys on the map side.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -62,20 +65,29 @@ def top_stops_by_calls(star: Star, n: int = 10) -> DataFrame:
 
 
 def top_route_names_by_stops(star: Star, n: int = 10) -> DataFrame:
-    """Grouped by route names, so equally named routes share their stops."""
+    """Grouped by route names, so equally named routes share their stops.
+
+    The least key of equally named routes stands for their names. Trips take it
+    before they meet their calls, so calls are moved as pairs of keys: once to
+    their trips and once to become distinct.
+    """
+    routes = star["dim_route"].select("route_key", *ROUTE_NAMES)
+    named = routes.groupBy(*ROUTE_NAMES).agg(F.min("route_key").alias("named"))
+    least = [routes[c].eqNullSafe(named[c]) for c in ROUTE_NAMES]
+    keys = routes.join(named, reduce(and_, least)).select("route_key", "named")
+    trips = star["fact_trip"].select("trip_key", "route_key").join(keys, "route_key").select("trip_key", "named")
     pairs = (
         star["fact_stop_time"]
         .select("trip_key", "stop_key")
-        .join(star["fact_trip"].select("trip_key", "route_key"), "trip_key")
-        .select("route_key", "stop_key")
+        .join(trips, "trip_key")
+        .select("named", "stop_key")
         .distinct()
     )
     return (
-        pairs.join(star["dim_route"].select("route_key", *ROUTE_NAMES), "route_key")
-        .select(*ROUTE_NAMES, "stop_key")
-        .distinct()
-        .groupBy(*ROUTE_NAMES)
+        pairs.groupBy("named")
         .agg(F.count(F.lit(1)).alias("num_paradas"))
+        .join(named, "named")
+        .select(*ROUTE_NAMES, "num_paradas")
         .orderBy(F.desc("num_paradas"), *ROUTE_NAMES)
         .limit(n)
     )
