@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from checks import views
 from tramline import schemas
-from tramline.functions.snapshots import ALL, Tables
+from tramline.functions.snapshots import ALL, Tables, many_snapshots
 from tramline.operators import clean
 from tramline.plans.warehouse import STAR, load_star, newest_dates, open_star, open_tables
 from tramline.session import scratch_dir
@@ -139,8 +139,10 @@ def relational_history(spark: SparkSession, sf_dir: str) -> Tables:
     """The relational tables with every yearly snapshot, as the loads leave them."""
 
     def build(path: str) -> None:
-        for name, df in views.history(spark, sf_dir).items():
-            tables.replace_snapshots(df, f"{path}/{name}", balance=True)
+        data = views.history(spark, sf_dir)
+        balance = many_snapshots(data["trips"])
+        for name, df in data.items():
+            tables.replace_snapshots(df, f"{path}/{name}", balance=balance)
 
     root = _once(spark, sf_dir, "history", build)
     return open_tables(spark, root, schemas.DATASETS)
