@@ -163,3 +163,23 @@ def test_empty(spark, stages, tmp_path):
     spark.read.parquet(f"{folder}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     spark.read.parquet(f"{folder}/benchmark.parquet").limit(0).write.parquet(f"{tmp_path}/benchmark.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+def test_stages_leave_only_what_their_rows_are_read_from(spark, tmp_path, monkeypatch):
+    """The tables of the search for copies, leaks and secrets go when it is done: they held the disk to the end."""
+    from tramline import session
+
+    folder, scratch = str(tmp_path), tmp_path / "scratch"
+    scratch.mkdir()
+    monkeypatch.setattr(session, "_local_root", str(scratch))
+    spark.createDataFrame(rows(), SCHEMA).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    for stage, left in (
+        (corpus_pipeline.keep_first, ["kept", "numbered"]),
+        (corpus_pipeline.keep_clean, ["leaks", "numbered"]),
+        (corpus_pipeline.hide_secrets, ["secrets"]),
+    ):
+        before = {p.name for p in scratch.iterdir()}
+        assert stage(spark, docs, folder).count() > 0
+        assert sorted(p.name.split("-")[0] for p in scratch.iterdir() if p.name not in before) == left

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +35,24 @@ def get_session(
 
 
 _local_root: str | None = None
+_passing: contextvars.ContextVar[str | None] = contextvars.ContextVar("passing scratch", default=None)
+
+
+@contextlib.contextmanager
+def passing_scratch(spark: SparkSession) -> Iterator[None]:
+    """Scratch folders asked for within the block are deleted at its end.
+
+    Frames that read them must not be used behind it: what stays is to be written
+    to a path from before the block.
+    """
+    root = scratch_dir(spark, "passing")
+    token = _passing.set(root)
+    try:
+        yield
+    finally:
+        _passing.reset(token)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
@@ -40,6 +61,8 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     Only a local-mode session may fall back to a folder of this machine.
     """
     global _local_root
+    if _passing.get():
+        return f"{_passing.get()}/{label}-{uuid.uuid4().hex}"
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
