@@ -72,3 +72,24 @@ def test_written_form(spark):
 def test_empty_table(spark):
     pieces = chat_format.format_chats(spark.createDataFrame([], SCHEMA), PATH)
     assert pieces.count() == 0 and chat_format.read_chats(pieces, PATH).count() == 0
+
+
+def test_equal_strings_of_a_block_are_encoded_once():
+    import public_tokenizers
+
+    from tramline.llm import chat_format
+
+    own, asked = chat_format.Codec(public_tokenizers.path("byte_bpe_50k.json"), chat_format.Template()), []
+    whole = own.tokenizer
+
+    class Recorder:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return whole.encode_batch_fast(texts, **options)
+
+    own.tokenizer = Recorder()
+    texts = ["user", "Grüße </s> ok", "user", "", "Grüße </s> ok", "user"]
+    ids, at = own.encode(texts)
+    assert sorted(asked) == sorted(own.escapes.add(t) for t in set(texts))
+    want = [whole.encode(own.escapes.add(t), add_special_tokens=False).ids for t in texts]
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want

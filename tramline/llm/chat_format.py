@@ -39,7 +39,7 @@ from tramline.llm.stored import parts_of
 
 ESCAPE = "\\"
 LOSS_ROLE = "assistant"
-BLOCK_CHARS = 1 << 20
+BLOCK_CHARS = 1 << 18
 
 PIECE_SCHEMA = "conv_id long, place long, first_token long, ids array<int>, loss array<boolean>"
 TURN_SCHEMA = "conv_id long, place long, role string, text string, loss_text string, formatted_chars long, n_tokens long"
@@ -97,9 +97,11 @@ class Codec:
         return bytes(NAMED_BYTES[c] for c in name) if all(c in NAMED_BYTES for c in name) else name.encode()
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all texts, escaped, and the offsets of each text's ids."""
-        found = self.tokenizer.encode_batch([self.escapes.add(t) for t in texts], add_special_tokens=False)
-        ids = [e.ids for e in found]
+        """Ids of all texts, escaped, and the offsets of each text's ids. Equal texts are encoded once."""
+        distinct = list(dict.fromkeys(texts))
+        found = self.tokenizer.encode_batch_fast([self.escapes.add(t) for t in distinct], add_special_tokens=False)
+        ids_of = {t: e.ids for t, e in zip(distinct, found)}
+        ids = [ids_of[t] for t in texts]
         offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int64)
         return np.fromiter((i for x in ids for i in x), np.int32, int(offsets[-1])), offsets
 
