@@ -165,13 +165,13 @@ def test_empty(spark, stages, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
-def test_stages_leave_only_what_their_rows_are_read_from(spark, tmp_path, monkeypatch):
+def test_stages_leave_only_what_their_rows_are_read_from(spark, tmp_path):
     """The tables of the search for copies, leaks and secrets go when it is done: they held the disk to the end."""
-    from tramline import session
+    from pathlib import Path
 
-    folder, scratch = str(tmp_path), tmp_path / "scratch"
-    scratch.mkdir()
-    monkeypatch.setattr(session, "_local_root", str(scratch))
+    from tramline.session import scratch_dir
+
+    folder, scratch = str(tmp_path), Path(scratch_dir(spark, "probe").removeprefix("file:")).parent
     spark.createDataFrame(rows(), SCHEMA).write.parquet(f"{folder}/documents.parquet")
     spark.createDataFrame([(1, ITEM)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
     docs = spark.read.parquet(f"{folder}/documents.parquet")
@@ -180,6 +180,6 @@ def test_stages_leave_only_what_their_rows_are_read_from(spark, tmp_path, monkey
         (corpus_pipeline.keep_clean, ["leaks", "numbered"]),
         (corpus_pipeline.hide_secrets, ["secrets"]),
     ):
-        before = {p.name for p in scratch.iterdir()}
+        before = {p.name for p in scratch.iterdir()} if scratch.exists() else set()
         assert stage(spark, docs, folder).count() > 0
         assert sorted(p.name.split("-")[0] for p in scratch.iterdir() if p.name not in before) == left
