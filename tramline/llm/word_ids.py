@@ -49,7 +49,9 @@ class WordIds:
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
     def _letters(self, letters: str) -> list[int]:
-        named = letters.lower().encode().decode("latin-1").translate(BYTE_NAMES)
+        named = letters.lower()
+        if not named.isascii():  # letters of ASCII are named by themselves
+            named = named.encode().decode("latin-1").translate(BYTE_NAMES)
         return [t.id for t in self.model.tokenize(named)]
 
     def ids_of(self, word: str) -> list[int]:
