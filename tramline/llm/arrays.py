@@ -35,7 +35,9 @@ def worker_state() -> dict:
     return sys.modules[name].state
 
 
-def blocks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+def blocks(
+    batch: pa.RecordBatch, column: str, block_bytes: int = BLOCK_BYTES
+) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
     """Runs of rows with the bytes of their texts and the rows' offsets in them.
 
     NULL counts as the empty text.
@@ -49,7 +51,7 @@ def blocks(batch: pa.RecordBatch, column: str) -> Iterator[tuple[slice, np.ndarr
     data = np.frombuffer(held, np.uint8) if held is not None else np.zeros(0, np.uint8)
     first = 0
     while first < n:
-        last = int(np.searchsorted(offsets, offsets[first] + BLOCK_BYTES, "right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + block_bytes, "right")) - 1
         last = min(max(last, first + 1), n)
         lo, hi = int(offsets[first]), int(offsets[last])
         yield slice(first, last), data[lo:hi], offsets[first : last + 1] - lo
