@@ -10,7 +10,7 @@ import pytest
 import regex
 from tokenizers import Tokenizer
 
-from tramline.llm import grammar, packing, token_counts
+from tramline.llm import grammar, packing, token_counts, word_ids
 from tramline.session import scratch_dir
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -163,3 +163,13 @@ def test_grammar_makes_repeats_small():
     sizes = np.concatenate([np.ones(len(back.terminals), int), back.lengths])
     assert sizes[back.symbols].sum() == len(ids)
     assert 4 * len(back.symbols) < len(ids)
+
+
+def test_letters_are_asked_for_once_whatever_signs_stand_behind_them():
+    """The table holds pieces of words; cutting changes no id."""
+    encoder = word_ids.WordIds(WORDS)
+    texts = ["Élan word, word. Word!! WORD; word", "word's 12 <|endoftext|> word<|x (word) ×é é÷", "", "a,b c\x85d Élan?", *filter(None, AWKWARD)]
+    raw = [t.encode() for t in texts]
+    ids, at = encoder.encode(b"".join(raw), np.cumsum([0, *map(len, raw)]), 2)
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [encoded(WORDS, t) + [2] for t in texts]
+    assert {p for p in encoder.index if p.lower().startswith(b"word")} == {b"word", b"word's", b"word<|x"}

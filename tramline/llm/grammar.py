@@ -149,15 +149,14 @@ def re_pair(symbols: np.ndarray, n_symbols: int) -> tuple[np.ndarray, list[tuple
             break
         # A table by hash finds the rule of a pair; of pairs that share a slot the most frequent goes first.
         pairs = pairs[np.sort(np.unique(slot(pairs), return_index=True)[1])]
-        table = np.full(1 << SLOTS, len(pairs), np.int32)
-        table[slot(pairs)] = np.arange(len(pairs))
-        rule = table[slot(keys)]
-        hit = np.append(pairs, np.uint32(0xFFFFFFFF))[rule] == keys
-        at = np.flatnonzero(hit)
+        table = np.full(1 << SLOTS, 0xFFFFFFFF, np.uint32)  # BORDER twice: no pair
+        table[slot(pairs)] = pairs
+        at = np.flatnonzero((table[slot(keys)] == keys) & (keys != 0xFFFFFFFF))
         run = np.flatnonzero(np.diff(at, prepend=-2) > 1)
         even = (np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))) % 2 == 0
         at = at[even]
-        symbols[at] = n_symbols + rule[at]
+        table[slot(pairs)] = np.arange(len(pairs))
+        symbols[at] = n_symbols + table[slot(keys[at])]
         keep = np.ones(len(symbols), dtype=bool)
         keep[at + 1] = False
         symbols = symbols[keep]

@@ -1,4 +1,4 @@
-"""Token ids of many texts, each distinct word asked for once.
+"""Token ids of many texts, each distinct piece of a word asked for once.
 
 For tokenizers whose pre-tokens never cross white space (``word_bpe``): the ids
 of a text are those of its words in order. Words are cut at 0x20 and 0x09-0x0D
@@ -6,13 +6,14 @@ only, all of which the tokenizer takes as white space; other white space stays
 inside a word and is left to the tokenizer.
 
 Most distinct words are Latin letters with signs behind them. Letters and signs
-are pre-tokens of their own, so these words go straight to the tokenizer's
-model, past normalising and splitting, if the tokenizer proves on ``PROBES`` to
-work that way. All other words take the whole way.
-
-The tokenizer ignores case, so ASCII texts are looked up in lower case; others
-are not, since a few letters compose with accents in one case only. Texts that
-may hold special strings are left as they are.
+are pre-tokens of their own, so these words are cut into the two, as arrays over
+all bytes of a block, and the pieces go straight to the tokenizer's model, past
+normalising and splitting, if the tokenizer proves on ``PROBES`` to work that
+way. All other words are one piece and take the whole way.
+
+The tokenizer ignores case, so ASCII letters of cut words are looked up in lower
+case; other words are not, since a few letters compose with accents in one case
+only. Words with ``<|``, which may hold special strings, are never cut.
 """
 
 from __future__ import annotations
@@ -22,49 +23,99 @@ import re
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from tramline.llm import arrays
 
-CACHE_BYTES = 16 << 20  # of words; the table starts anew beyond that
-
-
-PLAIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\\[-`{-~]*)\\Z")
+CACHE_BYTES = 16 << 20  # of pieces; the table starts anew beyond that
+CUT_BYTES = 256 << 10  # texts cut together: their arrays stay in the processor's cache
+
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+\\Z")
+SIGNS = re.compile("[!-/:-@\\[-`{-~]+\\Z")
+IS_ASCII_LETTER = np.zeros(256, dtype=bool)
+IS_ASCII_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+IS_SIGN = np.zeros(256, dtype=bool)
+IS_SIGN[[b for b in range(0x21, 0x7F) if SIGNS.match(chr(b))]] = True
+# The bytes that follow 0xC3 in the letters of Latin-1.
+IS_SECOND = np.zeros(256, dtype=bool)
+IS_SECOND[[b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)]] = True
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[0x41:0x5B] += 32
 PROBES = ("hand", "Hand,", "tokenization...", "its'", "(", "xyzzyq|%", "Élève,", "Größe!", "ÿÏàâã")
 # Byte-level vocabularies write printable bytes as themselves and the others as code points from 256 on, in order.
 _OTHERS = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
-BYTE_NAMES = {b: 256 + i for i, b in enumerate(_OTHERS)}
+BYTE_NAMES = np.arange(256, dtype="<u4")
+BYTE_NAMES[_OTHERS] = 256 + np.arange(len(_OTHERS))
+BYTE_NAMES[0x20] = 0x20  # between pieces
+
+
+def cut_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes with cut words in lower case, byte starts and ends of all pieces, and each text's offset among the pieces."""
+    starts, ends, words = arrays.find_words(data, offsets)
+    letter, sign = IS_ASCII_LETTER[data], IS_SIGN[data]
+    lead = np.flatnonzero(data[:-1] == 0xC3)
+    lead = lead[IS_SECOND[data[lead + 1]]]
+    letter[lead] = letter[lead + 1] = True
+    letters, signs = (np.concatenate([[0], np.cumsum(x, dtype=np.int32)]) for x in (letter, sign))
+    middle = starts + letters[ends] - letters[starts]
+    # Letters come first if behind as many bytes as there are letters all are signs.
+    plain = (middle > starts) & (signs[ends] - signs[middle] == ends - middle)
+    special = np.flatnonzero((data[:-1] == 0x3C) & (data[1:] == 0x7C))
+    if len(special):
+        plain[np.searchsorted(starts, special, "right") - 1] = False
+    is_cut = plain & (middle < ends)
+    before = np.concatenate([[0], np.cumsum(is_cut)])
+    at = np.arange(len(starts)) + before[:-1]
+    first, last = (np.empty(len(starts) + int(before[-1]), np.int64) for _ in range(2))
+    first[at], last[at] = starts, np.where(is_cut, middle, ends)
+    first[at[is_cut] + 1], last[at[is_cut] + 1] = middle[is_cut], ends[is_cut]
+    edges = np.zeros(len(data) + 1, np.int8)
+    edges[starts[plain]] += 1
+    edges[ends[plain]] -= 1
+    inside = np.cumsum(edges[:-1], dtype=np.int8).astype(bool)
+    return np.where(inside, LOWER[data], data), first, last, words + before[words]
+
+
+def named(pieces: str) -> str:
+    """Letters and signs as the vocabulary writes them; spaces between them stay."""
+    pieces = pieces.lower()
+    if pieces.isascii():  # named by themselves
+        return pieces
+    return BYTE_NAMES[np.frombuffer(pieces.encode(), np.uint8)].tobytes().decode("utf-32-le")
 
 
 class WordIds:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.signs: dict[str, list[int]] = {"": []}
         self.plain = True
-        self.plain = all(self.ids_of(w) == self._whole(w) for w in PROBES)
+        self.plain = all(
+            [i for piece in self._pieces(w) for i in self.ids_of(piece)] == self._whole(w) for w in PROBES
+        )
         self.clear()
 
     def _whole(self, word: str) -> list[int]:
         return self.tokenizer.encode(word, add_special_tokens=False).ids
 
-    def _letters(self, letters: str) -> list[int]:
-        named = letters.lower()
-        if not named.isascii():  # letters of ASCII are named by themselves
-            named = named.encode().decode("latin-1").translate(BYTE_NAMES)
-        return [t.id for t in self.model.tokenize(named)]
-
-    def ids_of(self, word: str) -> list[int]:
-        """The ids of one word."""
-        parts = PLAIN.match(word) if self.plain and "<|" not in word else None
-        if parts is None:
-            return self._whole(word)
-        letters, signs = parts.groups()
-        if signs not in self.signs:
-            if len(self.signs) > 10_000:
-                self.signs = {"": []}
-            self.signs[signs] = [t.id for t in self.model.tokenize(signs)]
-        return self._letters(letters) + self.signs[signs]
+    def _pieces(self, text: str) -> list[str]:
+        data, first, last, _ = self._cut(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+        return [data[a:b].tobytes().decode() for a, b in zip(first, last)]
+
+    def _cut(self, data: np.ndarray, offsets: np.ndarray):
+        return cut_words(data, offsets) if self.plain else (data, *arrays.find_words(data, offsets))
+
+    def ids_of(self, piece: str) -> list[int]:
+        """The ids of one piece."""
+        if self.plain and (LETTERS.match(piece) or SIGNS.match(piece) and "<|" not in piece):
+            return [t.id for t in self.model.tokenize(named(piece))]
+        return self._whole(piece)
+
+    def _found(self, pieces: list[str]) -> list[list[int]]:
+        """The ids of each piece; letters are named all at once."""
+        names = [p if self.plain and LETTERS.match(p) else "" for p in pieces]
+        tokenize = self.model.tokenize
+        return [[t.id for t in tokenize(n)] if n else self.ids_of(p) for p, n in zip(pieces, named(" ".join(names)).split(" "))]
 
     def clear(self) -> None:
         self.index: dict[bytes, int] = {}
@@ -74,17 +125,18 @@ class WordIds:
         self.ids = np.zeros(1 << 14, np.uint32)
         self.used = 0
 
-    def learn(self, words: set[bytes]) -> None:
-        new = list(words.difference(self.index))
+    def learn(self, pieces: list[bytes]) -> None:
+        """Find the ids of those of the distinct pieces that are not in the table."""
+        new = [p for p in pieces if p not in self.index]
         if self.size + sum(map(len, new)) > CACHE_BYTES and self.index:
             self.clear()
-            new = list(words)
+            new = pieces
         self.size += sum(map(len, new))
         # Many small lists live for a moment: looking for cycles among them would take longer than making them.
         collecting = gc.isenabled()
         gc.disable()
         try:
-            found = [self.ids_of(w.decode()) for w in new]
+            found = self._found([p.decode() for p in new])
         finally:
             if collecting:
                 gc.enable()
@@ -101,21 +153,33 @@ class WordIds:
         self.used += total
         self.index.update(zip(new, range(at, at + n)))
 
+    def _places(self, raw: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place in the table of each piece of the texts, and each text's offset among the pieces."""
+        held, sizes, at, n, first = [], [], [np.zeros(1, np.int64)], 0, 0
+        while first < len(offsets) - 1:
+            last = int(np.searchsorted(offsets, offsets[first] + CUT_BYTES, "right")) - 1
+            last = min(max(last, first + 1), len(offsets) - 1)
+            lo, hi = int(offsets[first]), int(offsets[last])
+            data, starts, ends, texts = self._cut(np.frombuffer(raw, np.uint8, hi - lo, lo), offsets[first : last + 1] - lo)
+            held.append(data[~arrays.SEPARATOR[data]])
+            sizes.append(ends - starts)
+            at.append(texts[1:] + n)
+            n, first = n + len(starts), last
+        where = np.concatenate([[0], *sizes]).cumsum()
+        buffers = [None, pa.py_buffer(where), pa.py_buffer(np.concatenate([np.zeros(0, np.uint8), *held]))]
+        pieces = pa.Array.from_buffers(pa.large_binary(), n, buffers).dictionary_encode()
+        distinct = pieces.dictionary.to_pylist()
+        self.learn(distinct)
+        place = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
+        return place[np.asarray(pieces.indices)], np.concatenate(at)
+
     def encode(self, raw: bytes, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts raw[offsets[i]:offsets[i+1]], each with ``end`` appended, and their offsets."""
-        held: list[bytes] = []
-        counts = [0]
-        for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist()):
-            text = raw[a:b]
-            held += (text.lower() if text.isascii() and b"<|" not in text else text).split()
-            counts.append(len(held))
-        self.learn(set(held))
-        at = np.fromiter(map(self.index.__getitem__, held), np.int64, len(held))
-        words = np.array(counts)
+        at, pieces = self._places(raw, offsets)
         length = self.lengths[at]
-        before = np.concatenate([[0], np.cumsum(length)])[words]
-        out = np.empty(int(before[-1]) + len(counts) - 1, np.uint32)
-        borders = before + np.arange(len(counts))
+        before = np.concatenate([[0], np.cumsum(length)])[pieces]
+        out = np.empty(int(before[-1]) + len(offsets) - 1, np.uint32)
+        borders = before + np.arange(len(offsets))
         is_end = np.zeros(len(out), dtype=bool)
         is_end[borders[1:] - 1] = True
         out[is_end] = end
