@@ -131,3 +131,13 @@ def test_space_trim_differs_from_strip(frame):
 
 def test_every_dataset_has_a_cleaner():
     assert set(clean.CLEANERS) == set(schemas.DATASETS)
+
+
+def test_copies_are_not_gathered_where_they_are_read(spark):
+    """Rows are dealt out before copies go: nothing is combined, held or spilled below the only shuffle."""
+    calls = "trip_id string, arrival_time string, departure_time string, stop_id string, stop_sequence string"
+    rows = [("t", " 1", "2 ", "s", "3"), ("t", " 1", "2 ", "s", "3"), ("t", " 1", "2 ", "s", "x"), (None, "1", "2", "s", "3")]
+    out = clean.clean_stop_times(spark.createDataFrame(rows, calls))
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert "Aggregate" in plan and "Aggregate" not in plan[plan.index("Repartition" if "Repartition" in plan else "Exchange"):]
+    assert sorted(map(tuple, out.collect()), key=str) == [("t", "1", "2", "s", 3), ("t", "1", "2", "s", None)]

@@ -108,8 +108,13 @@ def clean_text_feed(datasets: Datasets) -> Datasets:
     return out
 
 
-def _with(df: DataFrame, **columns: Column) -> DataFrame:
-    return df.dropDuplicates().withColumns(columns)
+def _with(df: DataFrame, *near: str, **columns: Column) -> DataFrame:
+    """One copy of each row; rows that agree in the columns ``near`` (all by default) come to one task.
+
+    Few rows of a feed are copies, so combining them where they are read would
+    hold, and spill, nearly all rows there: they are dealt out first.
+    """
+    return df.repartition(*(near or df.columns)).dropDuplicates().withColumns(columns)
 
 
 def _texts(*names: str) -> dict[str, Column]:
@@ -157,13 +162,14 @@ def clean_stops(df: DataFrame) -> DataFrame:
 
 
 def clean_stop_times(df: DataFrame) -> DataFrame:
-    cleaned = _with(
-        df,
+    # Calls stay with their trip, so the trips of a stored part are few.
+    return _with(
+        drop_missing(df, ["trip_id", "stop_id"]),
+        "trip_id",
         **_texts("trip_id", "stop_id"),
         **_integers("stop_sequence"),
         **_trimmed("arrival_time", "departure_time"),
     )
-    return drop_missing(cleaned, ["trip_id", "stop_id"])
 
 
 def clean_calendar(df: DataFrame) -> DataFrame:
