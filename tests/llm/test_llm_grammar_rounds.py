@@ -1,4 +1,7 @@
+from collections import Counter
+
 import numpy as np
+import pytest
 
 from tramline.llm import grammar
 
@@ -12,3 +15,51 @@ def test_rounds_go_on_until_no_pair_is_frequent():
     assert len(symbols) < len(apart) and rules
     pairs = symbols[:-1].astype(np.int64) << 16 | symbols[1:]
     assert np.unique(pairs, return_counts=True)[1].max() < grammar.LEAST
+
+
+def test_late_rounds_count_only_places_that_may_be_frequent(monkeypatch):
+    """Rounds with few rules must not sort all pairs of the shard anew."""
+    rng = np.random.default_rng(2)
+    phrase = rng.permutation(3000)[:256]
+    apart = [x for _ in range(12) for x in (*phrase.tolist(), *rng.integers(3000, 30000, 4000).tolist())]
+    counted, sort = [], np.sort
+    monkeypatch.setattr(np, "sort", lambda x, *a, **b: counted.append(len(x)) or sort(x, *a, **b))
+    monkeypatch.setattr(grammar, "ROUND_RULES", 16)
+    _, rules = grammar.re_pair(np.array(apart), 30000)
+    assert len(rules) > 200
+    assert sum(counted) < 3 * len(apart)
+
+
+def plain_rounds(symbols, n_symbols):
+    """The rounds by their definition, all pairs counted in each."""
+    rules = []
+    slot = lambda a, b: ((a << 16 | b) * 0x9E3779B1 & 0xFFFFFFFF) >> 32 - grammar.SLOTS
+    while n_symbols < grammar.MAX_SYMBOLS:
+        times = Counter(p for p in zip(symbols, symbols[1:]) if grammar.BORDER not in p)
+        often = sorted((-k, p) for p, k in times.items() if k >= grammar.LEAST)
+        new = {}
+        for _, p in often[: min(grammar.ROUND_RULES, grammar.MAX_SYMBOLS - n_symbols)]:
+            new.setdefault(slot(*p), p)
+        if not new:
+            break
+        number = {p: n_symbols + i for i, p in enumerate(new.values())}
+        out, i = [], 0
+        while i < len(symbols):
+            pair = tuple(symbols[i : i + 2])
+            out.append(number.get(pair, symbols[i]))
+            i += 2 if pair in number else 1
+        symbols, n_symbols = out, n_symbols + len(number)
+        rules += number
+    return symbols, rules
+
+
+@pytest.mark.parametrize("slots, round_rules, first", [(20, 4096, 60), (5, 4, 60), (4, 2, 65_530)])
+def test_rounds_are_those_that_count_all_pairs(monkeypatch, slots, round_rules, first):
+    monkeypatch.setattr(grammar, "SLOTS", slots)
+    monkeypatch.setattr(grammar, "ROUND_RULES", round_rules)
+    rng = np.random.default_rng(3)
+    for size in [0, 1, 2, 5, 6, 7, *rng.integers(8, 1500, 60).tolist()]:
+        symbols = rng.zipf(1.5, size) % int(rng.integers(1, 40))
+        symbols[rng.random(size) < 0.02] = grammar.BORDER
+        got, rules = grammar.re_pair(symbols, first)
+        assert (got.tolist(), rules) == plain_rounds(symbols.tolist(), first)

@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 from tokenizers import Tokenizer
@@ -173,3 +174,39 @@ def test_letters_are_asked_for_once_whatever_signs_stand_behind_them():
     ids, at = encoder.encode(b"".join(raw), np.cumsum([0, *map(len, raw)]), 2)
     assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == [encoded(WORDS, t) + [2] for t in texts]
     assert {p for p in encoder.index if p.lower().startswith(b"word")} == {b"word", b"word's", b"word<|x"}
+
+
+@pytest.mark.parametrize("one_hash", [False, True])
+def test_pieces_that_are_alike_have_their_own_places(monkeypatch, one_hash):
+    """The same first bytes, NUL bytes behind, sizes around 8 and 16 bytes, and one hash for all."""
+    if one_hash:
+        monkeypatch.setattr(word_ids, "_hash", lambda low, high, size: np.full(len(low), 2**64 - 1, np.uint64))
+    pieces = [b"abcdefgh" * 4 + bytes(3), b"\0" * 32, b"x" * 40]
+    pieces = sorted({p[:k] for p in pieces for k in (*range(1, 19), 32)}) + [b"%d" % k for k in range(2000)]
+    table, at = word_ids.Pieces(), 0
+    for lo in range(0, len(pieces), 700):
+        keys = word_ids.Keys(pa.array(pieces[: lo + 700], pa.large_binary()).slice(lo))
+        assert (table.find(keys) == -1).all()
+        rows = np.arange(len(keys.size))
+        assert table.add(keys, rows).tolist() == (at + rows).tolist()
+        assert table.find(keys).tolist() == (at + rows).tolist()
+        at += len(rows)
+    assert table.find(word_ids.Keys(pa.array(pieces, pa.large_binary()))).tolist() == list(range(len(pieces)))
+    assert table.index() == {p: i for i, p in enumerate(pieces)}
+
+
+def test_known_pieces_are_found_as_arrays(monkeypatch):
+    """A block of known pieces makes no Python object for each; only new ones are asked for, also after the table starts anew."""
+    encoder, asked = word_ids.WordIds(WORDS), []
+    found = encoder._found
+    monkeypatch.setattr(encoder, "_found", lambda pieces: asked.append(len(pieces)) or found(pieces))
+    words = [f"w{k}x" for k in range(3000)] + ["long" * 9]
+    learn = lambda some: encoder.learn(pa.array([w.encode() for w in some], pa.large_binary()))
+    first = learn(words)
+    assert learn(words).tolist() == first.tolist() and learn([*words[9:], "new"])[-1] == 3001
+    assert asked == [3001, 1]
+    monkeypatch.setattr(word_ids, "CACHE_BYTES", encoder.size)
+    assert learn(["w0x", "other"]).tolist() == [0, 1] and asked[2:] == [2]
+    raw = "w0x other w1x".encode()
+    ids, _ = encoder.encode(raw, np.array([0, len(raw)]), 2)
+    assert ids.tolist() == encoded(WORDS, raw.decode()) + [2]

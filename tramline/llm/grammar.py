@@ -127,39 +127,54 @@ class Shard:
 def re_pair(symbols: np.ndarray, n_symbols: int) -> tuple[np.ndarray, list[tuple[int, int]]]:
     """Replace frequent pairs in rounds; BORDER is never part of a pair.
 
-    Of pairs that overlap in the sequence the left one is replaced.
+    Of pairs that overlap in the sequence the left one is replaced. All pairs are
+    counted once, then only places that held a frequent pair or stand beside a new
+    symbol. No other pair can be frequent: all places that a pair ever has come up
+    in the round that makes the newer of its symbols, and later rounds only take
+    places from it.
     """
     symbols, rules = symbols.astype(np.uint32), []
+    counted = np.ones(len(symbols), dtype=bool)
+    # Tables by hash: whether a pair is frequent and has a rule, and which.
+    kind, rule = np.zeros(1 << SLOTS, np.uint8), np.zeros(1 << SLOTS, np.uint32)
 
     def slot(keys: np.ndarray) -> np.ndarray:
         return keys * np.uint32(0x9E3779B1) >> np.uint32(32 - SLOTS)
 
     while n_symbols < MAX_SYMBOLS and len(symbols) > 1:
-        keys = symbols[:-1] << np.uint32(16) | symbols[1:]
+        plain = symbols != BORDER
+        counted[:-1] &= plain[:-1] & plain[1:]
+        at = np.flatnonzero(counted[:-1])
+        keys = (symbols[:-1] << np.uint32(16) | symbols[1:])[at]
         ordered = np.sort(keys)
-        first = np.flatnonzero(ordered[1:] != ordered[:-1]) + 1
-        first = np.concatenate([[0], first])
-        times = np.diff(np.append(first, len(ordered)))
-        often = np.flatnonzero(times >= LEAST)
-        pairs, times = ordered[first[often]], times[often]
-        inside = (pairs >> np.uint32(16) != BORDER) & (pairs & np.uint32(0xFFFF) != BORDER)
-        pairs, times = pairs[inside], times[inside]
-        pairs = pairs[np.lexsort((pairs, -times))][: min(ROUND_RULES, MAX_SYMBOLS - n_symbols)]
-        if not len(pairs):
+        # A pair with k places equals the one LEAST - 1 further on k - LEAST + 1 times.
+        often = ordered[np.flatnonzero(ordered[LEAST - 1 :] == ordered[: 1 - LEAST])]
+        if not len(often):
             break
-        # A table by hash finds the rule of a pair; of pairs that share a slot the most frequent goes first.
+        first = np.concatenate([[0], np.flatnonzero(often[1:] != often[:-1]) + 1])
+        frequent, times = often[first], np.diff(np.append(first, len(often)))
+        pairs = frequent[np.lexsort((frequent, -times))][: min(ROUND_RULES, MAX_SYMBOLS - n_symbols)]
+        # Of pairs that share a slot the most frequent goes first.
         pairs = pairs[np.sort(np.unique(slot(pairs), return_index=True)[1])]
-        table = np.full(1 << SLOTS, 0xFFFFFFFF, np.uint32)  # BORDER twice: no pair
-        table[slot(pairs)] = pairs
-        at = np.flatnonzero((table[slot(keys)] == keys) & (keys != 0xFFFFFFFF))
+        kind[:] = 0
+        kind[slot(frequent)] = 1
+        kind[slot(pairs)] = 2
+        rule[slot(pairs)] = np.arange(len(pairs))
+        slots = slot(keys)
+        kinds = kind[slots]
+        counted[at] = kinds > 0
+        hit = np.flatnonzero(kinds == 2)
+        number = rule[slots[hit]]
+        same = pairs[number] == keys[hit]
+        at, number = at[hit[same]], number[same]
         run = np.flatnonzero(np.diff(at, prepend=-2) > 1)
         even = (np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))) % 2 == 0
-        at = at[even]
-        table[slot(pairs)] = np.arange(len(pairs))
-        symbols[at] = n_symbols + table[slot(keys[at])]
+        at, number = at[even], number[even]
+        symbols[at] = n_symbols + number
+        counted[at] = counted[at - 1] = True
         keep = np.ones(len(symbols), dtype=bool)
         keep[at + 1] = False
-        symbols = symbols[keep]
+        symbols, counted = symbols[keep], counted[keep]
         rules += [(int(p) >> 16, int(p) & 0xFFFF) for p in pairs.tolist()]
         n_symbols += len(pairs)
     return symbols, rules

@@ -29,6 +29,7 @@ from tokenizers import Tokenizer
 from tramline.llm import arrays
 
 CACHE_BYTES = 16 << 20  # of pieces; the table starts anew beyond that
+KEY_BYTES = 16  # pieces up to this size are found as two numbers
 CUT_BYTES = 256 << 10  # texts cut together: their arrays stay in the processor's cache
 
 LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+\\Z")
@@ -42,6 +43,7 @@ IS_SECOND = np.zeros(256, dtype=bool)
 IS_SECOND[[b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
+FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
 PROBES = ("hand", "Hand,", "tokenization...", "its'", "(", "xyzzyq|%", "Élève,", "Größe!", "ÿÏàâã")
 # Byte-level vocabularies write printable bytes as themselves and the others as code points from 256 on, in order.
 _OTHERS = [*range(0x21), *range(0x7F, 0xA1), 0xAD]
@@ -85,6 +87,93 @@ def named(pieces: str) -> str:
     return BYTE_NAMES[np.frombuffer(pieces.encode(), np.uint8)].tobytes().decode("utf-32-le")
 
 
+def grown(values: np.ndarray, n: int) -> np.ndarray:
+    """The array with room for n values or more, doubled as often as that takes."""
+    while n > len(values):
+        values = np.concatenate([values, np.zeros_like(values)])
+    return values
+
+
+def _hash(low: np.ndarray, high: np.ndarray, size: np.ndarray) -> np.ndarray:
+    return arrays.mix(arrays.mix(low) + high * np.uint64(arrays.WORD_BASE) + size.astype(np.uint64))
+
+
+class Keys:
+    """Pieces as numbers: sizes and up to 16 bytes in two of 64 bits; longer ones stay bytes, by their row."""
+
+    def __init__(self, pieces: pa.LargeBinaryArray):
+        n = len(pieces)
+        _, where, held = pieces.buffers()
+        where = np.frombuffer(where, np.int64, n + 1 + pieces.offset)[pieces.offset :] if n else np.zeros(1, np.int64)
+        held = np.frombuffer(held, np.uint8) if held is not None else np.zeros(0, np.uint8)
+        held = np.concatenate([held[where[0] : where[-1]], np.zeros(16, np.uint8)])
+        eight = np.ndarray(len(held) - 7, "<u8", held, strides=(1,))  # the eight bytes from each byte on
+        first = where[:-1] - where[0]
+        self.size = np.diff(where)
+        self.low = eight[first] & FIRST_BYTES[np.minimum(self.size, 8)]
+        self.high = eight[first + 8 * (self.size > 8)] & FIRST_BYTES[np.clip(self.size - 8, 0, 8)]
+        rows = np.flatnonzero(self.size > KEY_BYTES)
+        self.long = {int(i): held[first[i] : first[i] + self.size[i]].tobytes() for i in rows}
+
+
+class Pieces:
+    """Pieces in the order in which they were added, found as arrays by open addressing."""
+
+    def __init__(self):
+        self.n = 0
+        self.low, self.high = np.zeros(1 << 12, np.uint64), np.zeros(1 << 12, np.uint64)
+        self.size = np.zeros(1 << 12, np.uint8)  # 0 for the long ones
+        self.slots = np.full(1 << 14, -1, np.int32)
+        self.long: dict[bytes, int] = {}
+
+    def _home(self, low: np.ndarray, high: np.ndarray, size: np.ndarray) -> np.ndarray:
+        return (_hash(low, high, size) & np.uint64(len(self.slots) - 1)).astype(np.int64)
+
+    def find(self, keys: Keys) -> np.ndarray:
+        """The place of each piece, -1 if it has none."""
+        out = np.full(len(keys.size), -1, np.int64)
+        left = np.flatnonzero(keys.size <= KEY_BYTES)
+        slot = self._home(keys.low[left], keys.high[left], keys.size[left])
+        while len(left):
+            place = self.slots[slot]
+            taken = place >= 0  # a piece whose search ends at a free slot has no place
+            left, slot, place = left[taken], slot[taken], place[taken]
+            same = (self.low[place] == keys.low[left]) & (self.high[place] == keys.high[left])
+            same &= self.size[place] == keys.size[left]
+            out[left[same]] = place[same]
+            left, slot = left[~same], (slot[~same] + 1) & (len(self.slots) - 1)
+        for i, piece in keys.long.items():
+            out[i] = self.long.get(piece, -1)
+        return out
+
+    def add(self, keys: Keys, rows: np.ndarray) -> np.ndarray:
+        """Places for those rows of the keys, which have none yet."""
+        places = np.arange(self.n, self.n + len(rows))
+        self.n += len(rows)
+        self.low, self.high, self.size = (grown(x, self.n) for x in (self.low, self.high, self.size))
+        self.low[places], self.high[places] = keys.low[rows], keys.high[rows]
+        self.size[places] = np.where(keys.size[rows] > KEY_BYTES, 0, keys.size[rows])
+        if keys.long:
+            self.long |= {keys.long[i]: p for i, p in zip(rows.tolist(), places.tolist()) if i in keys.long}
+        enter = places
+        if 2 * self.n > len(self.slots):
+            self.slots = np.full(1 << (4 * self.n).bit_length(), -1, np.int32)
+            enter = np.arange(self.n)
+        enter = enter[self.size[enter] > 0]
+        slot = self._home(self.low[enter], self.high[enter], self.size[enter])
+        while len(enter):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = enter[free]
+            out = self.slots[slot] != enter  # of those that meet at a free slot one has it now
+            enter, slot = enter[out], (slot[out] + 1) & (len(self.slots) - 1)
+        return places
+
+    def index(self) -> dict[bytes, int]:
+        """The place of each piece."""
+        raw = np.stack([self.low, self.high], 1)[: self.n].astype("<u8").tobytes()
+        return {raw[16 * i : 16 * i + k]: i for i, k in enumerate(self.size[: self.n].tolist()) if k} | self.long
+
+
 class WordIds:
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
@@ -118,40 +207,47 @@ class WordIds:
         return [[t.id for t in tokenize(n)] if n else self.ids_of(p) for p, n in zip(pieces, named(" ".join(names)).split(" "))]
 
     def clear(self) -> None:
-        self.index: dict[bytes, int] = {}
+        self.table = Pieces()
         self.size = 0
         self.lengths = np.zeros(1 << 12, np.int64)
         self.first = np.zeros(1 << 12, np.int64)
         self.ids = np.zeros(1 << 14, np.uint32)
         self.used = 0
 
-    def learn(self, pieces: list[bytes]) -> None:
-        """Find the ids of those of the distinct pieces that are not in the table."""
-        new = [p for p in pieces if p not in self.index]
-        if self.size + sum(map(len, new)) > CACHE_BYTES and self.index:
+    @property
+    def index(self) -> dict[bytes, int]:
+        """The place of each piece in the table."""
+        return self.table.index()
+
+    def learn(self, pieces: pa.LargeBinaryArray) -> np.ndarray:
+        """The places of distinct pieces; the ids of those that are not in the table are found."""
+        keys = Keys(pieces)
+        place = self.table.find(keys)
+        new = np.flatnonzero(place < 0)
+        if not len(new):
+            return place
+        if self.size + int(keys.size[new].sum()) > CACHE_BYTES and self.table.n:
             self.clear()
-            new = pieces
-        self.size += sum(map(len, new))
+            new = np.arange(len(pieces))
+        self.size += int(keys.size[new].sum())
         # Many small lists live for a moment: looking for cycles among them would take longer than making them.
         collecting = gc.isenabled()
         gc.disable()
         try:
-            found = self._found([p.decode() for p in new])
+            found = self._found(pieces.take(pa.array(new)).cast(pa.large_string()).to_pylist())
         finally:
             if collecting:
                 gc.enable()
         length = np.fromiter(map(len, found), np.int64, len(found))
-        n, at, total = len(new), len(self.index), int(length.sum())
-        while at + n > len(self.lengths):
-            self.lengths = np.concatenate([self.lengths, np.zeros_like(self.lengths)])
-            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-        while self.used + total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        n, at, total = len(new), self.table.n, int(length.sum())
+        self.lengths, self.first = grown(self.lengths, at + n), grown(self.first, at + n)
+        self.ids = grown(self.ids, self.used + total)
         self.ids[self.used : self.used + total] = np.fromiter(chain.from_iterable(found), np.uint32, total)
         self.lengths[at : at + n] = length
         self.first[at : at + n] = self.used + np.cumsum(length) - length
         self.used += total
-        self.index.update(zip(new, range(at, at + n)))
+        place[new] = self.table.add(keys, new)
+        return place
 
     def _places(self, raw: bytes, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The place in the table of each piece of the texts, and each text's offset among the pieces."""
@@ -168,10 +264,7 @@ class WordIds:
         where = np.concatenate([[0], *sizes]).cumsum()
         buffers = [None, pa.py_buffer(where), pa.py_buffer(np.concatenate([np.zeros(0, np.uint8), *held]))]
         pieces = pa.Array.from_buffers(pa.large_binary(), n, buffers).dictionary_encode()
-        distinct = pieces.dictionary.to_pylist()
-        self.learn(distinct)
-        place = np.fromiter(map(self.index.__getitem__, distinct), np.int64, len(distinct))
-        return place[np.asarray(pieces.indices)], np.concatenate(at)
+        return self.learn(pieces.dictionary)[np.asarray(pieces.indices)], np.concatenate(at)
 
     def encode(self, raw: bytes, offsets: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the texts raw[offsets[i]:offsets[i+1]], each with ``end`` appended, and their offsets."""
