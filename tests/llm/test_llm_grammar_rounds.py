@@ -63,3 +63,29 @@ def test_rounds_are_those_that_count_all_pairs(monkeypatch, slots, round_rules,
         symbols[rng.random(size) < 0.02] = grammar.BORDER
         got, rules = grammar.re_pair(symbols, first)
         assert (got.tolist(), rules) == plain_rounds(symbols.tolist(), first)
+
+
+@pytest.mark.parametrize("round_rules", [1, 3, 4096])
+def test_expansions_follow_the_rules(monkeypatch, round_rules):
+    """Rules of many rounds, of none, and symbols that nest deeply are made out as the ids they stand for."""
+    monkeypatch.setattr(grammar, "ROUND_RULES", round_rules)
+    rng = np.random.default_rng(4)
+    phrase = rng.integers(0, 50, 40)
+    for docs in ([np.tile(phrase, 30), np.full(700, 7)], [np.array([2])], [rng.integers(0, 6, 900), phrase]):
+        ids = np.concatenate(docs).astype(np.uint32)
+        offsets = np.concatenate([[0], np.cumsum([len(d) for d in docs])])
+        shard = grammar.compress(ids, offsets, np.arange(len(docs)), np.zeros(len(docs)))
+        held = [[x] for x in shard.terminals.tolist()]
+        for a, b in shard.rules.tolist():
+            held.append(held[a] + held[b])
+        out, at = grammar.Shard.from_bytes(shard.to_bytes()).expansions()
+        assert [out[a:b].tolist() for a, b in zip(at, at[1:])] == held
+
+
+def test_expansions_work_on_rounds_not_on_rules(monkeypatch):
+    docs = np.random.default_rng(5).integers(0, 60, 60_000).astype(np.uint32)
+    shard = grammar.compress(docs, np.array([0, len(docs)]), np.zeros(1), np.zeros(1))
+    calls, concatenate = [], np.concatenate
+    monkeypatch.setattr(np, "concatenate", lambda *a, **b: calls.append(1) or concatenate(*a, **b))
+    shard.expansions()
+    assert len(shard.rules) > 1000 and len(calls) < 100

@@ -100,11 +100,22 @@ class Shard:
 
     def expansions(self) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all symbols one after the other, and the symbols' offsets in them."""
-        held = [self.terminals[i : i + 1] for i in range(len(self.terminals))]
-        for a, b in self.rules.tolist():
-            held.append(np.concatenate([held[a], held[b]]))
-        offsets = np.concatenate([[0], np.cumsum([len(x) for x in held])])
-        return np.concatenate(held) if held else np.zeros(0, np.uint32), offsets
+        n, (left, right) = len(self.terminals), self.rules.astype(np.int64).T
+        offsets = np.concatenate([[0], np.cumsum(np.concatenate([np.ones(n, np.int64), self.lengths]))])
+        out = np.empty(int(offsets[-1]), np.uint32)
+        out[:n] = self.terminals
+        # Rules are made out in runs that only ask for symbols before them: the rounds that made them.
+        newest, first = np.maximum.accumulate(np.maximum(left, right)), 0
+        while first < len(left):
+            last = int(np.searchsorted(newest, n + first))
+            for symbols, starts in (
+                (left[first:last], offsets[n + first : n + last]),
+                (right[first:last], offsets[left[first:last] + 1] - offsets[left[first:last]] + offsets[n + first : n + last]),
+            ):
+                sizes = offsets[symbols + 1] - offsets[symbols]
+                out[arrays.ranges(starts, sizes)] = out[arrays.ranges(offsets[symbols], sizes)]
+            first = last
+        return out, offsets
 
     def decode(self, symbols: np.ndarray, expansions=None) -> np.ndarray:
         ids, offsets = expansions or self.expansions()
